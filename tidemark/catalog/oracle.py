@@ -17,8 +17,13 @@ def mavg(column: str) -> str:
     return f"({msum(column)} / count({column}))"
 
 
+def signed_round(value: str, digits: int) -> str:
+    """Rounded, with zero for what would be a negative zero."""
+    return f"(round({value}, {digits}) + 0.0::DOUBLE)"
+
+
 def pct(part: str, whole: str, digits: int) -> str:
-    return f"round({part} * 100.0::DOUBLE / nullif({whole}, 0), {digits})"
+    return signed_round(f"{part} * 100.0::DOUBLE / nullif({whole}, 0)", digits)
 
 
 def tier(days: str) -> str:
@@ -157,7 +162,7 @@ def listed(rows: str) -> str:
         SELECT stage, stage_order, users, prev_users,
             CASE WHEN stage_order = 1 THEN 100.0::DOUBLE ELSE {pct('users', 'prev_users', 1)} END AS conversion_pct,
             CASE WHEN stage_order = 1 THEN 0.0::DOUBLE
-                ELSE round(100 - {pct('users', 'prev_users', 1)}, 1) END AS drop_off_pct,
+                ELSE {signed_round('100 - ' + pct('users', 'prev_users', 1), 1)} END AS drop_off_pct,
             {pct('users', 'top', 1)} AS pct_of_total FROM linked"""
 
 
@@ -261,10 +266,11 @@ def _all() -> dict[str, str]:
     sql["w2_rankings_hot"] = given("bands") + " " + ranks("bands")
     sql["w2_top_3_per_region"] = given("sales") + """ SELECT *, CAST(row_number() OVER (PARTITION BY region
         ORDER BY revenue DESC, sales_rep_id) AS INTEGER) AS row_num FROM sales QUALIFY row_num <= 3"""
-    sql["w3_period_over_period"] = given("monthly") + """ SELECT month, revenue,
+    before = "lag(revenue) OVER (ORDER BY month)"
+    growth = signed_round(f"(revenue - {before}) / nullif({before}, 0) * 100", 2)
+    sql["w3_period_over_period"] = given("monthly") + f""" SELECT month, revenue,
         lag(revenue) OVER (ORDER BY month) AS prev_month_revenue, lead(revenue) OVER (ORDER BY month) AS next_month_revenue,
-        round((revenue - lag(revenue) OVER (ORDER BY month)) / nullif(lag(revenue) OVER (ORDER BY month), 0) * 100, 2)
-            AS mom_growth_pct FROM monthly"""
+        {growth} AS mom_growth_pct FROM monthly"""
     sql["w4_moving_average"] = given("daily") + """ SELECT *, round(avg(daily_active_users) OVER (ORDER BY event_date
         ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 0) AS rolling_7day_avg FROM daily"""
     sql["w5_first_and_last"] = ends("user_id")
@@ -373,7 +379,7 @@ def _all() -> dict[str, str]:
         monthly AS (SELECT period_date AS month, count(DISTINCT customer_id) AS total_customers,
             count(DISTINCT CASE WHEN churned THEN customer_id END) AS churned_customers FROM status GROUP BY 1)
         SELECT *, round({rate}, 2) AS churn_rate_pct,
-            round({rate} - lag({rate}) OVER (ORDER BY month), 2) AS churn_rate_change_ppt FROM monthly"""
+            {signed_round(f'{rate} - lag({rate}) OVER (ORDER BY month)', 2)} AS churn_rate_change_ppt FROM monthly"""
     sql["h6_rfm_by_quantile"] = given("transactions", also=quantile_rfm("FROM transactions")) + " FROM segmented"
     sql["h6_rfm_by_quantile_sliced"] = sql["h6_rfm_by_quantile"]
     sql["c5_transform_rfm"] = given("extracted", also=quantile_rfm("FROM extracted")) + " FROM segmented"
@@ -422,11 +428,12 @@ def _all() -> dict[str, str]:
     sql["s17_analyze"] = """SELECT 'min' AS info_name, CAST(min(user_id) AS VARCHAR) AS info_value FROM events
         UNION ALL SELECT 'max', CAST(max(user_id) AS VARCHAR) FROM events UNION ALL SELECT 'num_nulls', '0'"""
 
+    before = "lag(revenue) OVER (ORDER BY week_start)"
+    change = f"(revenue - {before})"
     sql["r1_executive_summary"] = f"""WITH {WEEKLY} SELECT week_start, active_customers, round(revenue, 2) AS total_revenue,
         total_orders, round(average, 2) AS avg_order_value,
-        round(revenue - lag(revenue) OVER (ORDER BY week_start), 2) AS revenue_wow_change,
-        round((revenue - lag(revenue) OVER (ORDER BY week_start))
-            / nullif(lag(revenue) OVER (ORDER BY week_start), 0) * 100, 1) AS revenue_wow_pct FROM weekly"""
+        {signed_round(change, 2)} AS revenue_wow_change,
+        {signed_round(f'{change} / nullif({before}, 0) * 100', 1)} AS revenue_wow_pct FROM weekly"""
     sql["r2_churn_risk_report"] = given("people", "logins", "support", "billing") + " " + RISK_REPORT
     sql["r3_segment_performance"] = given("people") + " " + SEGMENTS
     sql["p1_lifecycle_job"] = given(
