@@ -1,0 +1,61 @@
+import pandas as pd
+import pytest
+from conftest import day, rows
+
+from tidemark.operators import cleaning
+
+
+def test_clean_names_texts_and_copies(spark):
+    df = spark.createDataFrame(
+        [("\tAnn \n", 1.5, "x"), ("Ann", 1.5, " x"), ("Ann", 2.5, "x"), (None, None, None), ("  a b ", 1.0, "")],
+        "` First Name ` string, Amount double, `KIND` string",
+    )
+    cleaned = cleaning.clean(df)
+    assert cleaned.columns == ["first_name", "amount", "kind"]
+    assert sorted(rows(cleaned), key=str) == sorted(
+        [("Ann", 1.5, "x"), ("Ann", 2.5, "x"), (None, None, None), ("a b", 1.0, "")], key=str
+    )
+
+
+def test_trimming_equals_python(spark):
+    texts = [f"{mark}a{mark}b{mark}" for mark in map(chr, [*range(1, 48), 0x85, 0xA0, 0x1680, 0x180E, 0x200B, 0x2009, 0x2028, 0x3000, 0xFEFF])]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    assert [row[1] for row in rows(cleaning.clean(df), "n")] == [text.strip() for text in texts]
+
+
+def test_names_that_become_equal_raise(spark):
+    with pytest.raises(ValueError, match="become equal"):
+        cleaning.clean(spark.createDataFrame([(1, 2)], "`A b` int, ` a_b` int"))
+
+
+def test_date_parts_equal_pandas(spark):
+    days = pd.to_datetime(["2024-12-30", "2021-01-03", "2024-02-29", "2023-07-09", "2000-01-01"])
+    df = spark.createDataFrame([(d.date(),) for d in days], "d date")
+    expected = [
+        (d.date(), d.year, d.month, d.quarter, d.isocalendar()[1], d.day, d.day_name()) for d in sorted(days)
+    ]
+    assert rows(cleaning.add_date_parts(df, "d"), "d") == expected
+
+
+def test_a_missing_date_has_missing_parts(spark):
+    df = spark.createDataFrame([(None,)], "d date")
+    assert rows(cleaning.add_date_parts(df, "d")) == [(None,) * 7]
+
+
+def test_dates_may_be_text(spark):
+    df = spark.createDataFrame([("2024-03-05",)], "d string")
+    assert rows(cleaning.add_date_parts(df, "d").select("d_year", "d_weekday")) == [(2024, "Tuesday")]
+
+
+def test_amounts_that_are_not_numbers_become_zero(spark):
+    texts = ["x", " 2 ", None, "1e3", "-4.5", "", "7d", "nan", "+.5", "1,000"]
+    df = spark.createDataFrame([(n, day("2024-01-01"), t) for n, t in enumerate(texts)], "n int, d date, amount string")
+    result = rows(cleaning.transform_transactions(df, "d").select("n", "amount"), "n")
+    assert [value for _, value in result] == [0.0, 2.0, 0.0, 1000.0, -4.5, 0.0, 0.0, 0.0, 0.5, 0.0]
+    numeric = spark.createDataFrame([(3.5,), (float("nan"),), (None,)], "amount double")
+    assert sorted(row[0] for row in rows(cleaning.number_or_zero(numeric, "amount"))) == [0.0, 0.0, 3.5]
+
+
+def test_churn_risk_of_the_login_extract(spark):
+    df = spark.createDataFrame([(1, day("2024-01-01"), 3)], "customer_id long, last_login_date date, total_logins_90d long")
+    assert rows(cleaning.transform_churn_risk(df, "2024-03-15")) == [(1, day("2024-01-01"), 3, 74, "medium_risk")]

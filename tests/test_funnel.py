@@ -1,0 +1,81 @@
+from conftest import day, moment, rows
+
+from tidemark.operators import funnel
+
+
+def ids(spark, *values):
+    return spark.createDataFrame([(value,) for value in values], "customer_id long")
+
+
+def test_conversion_uses_the_first_stage_that_has_anyone(spark):
+    stages = [
+        ("Lead Created", ids(spark)),
+        ("Demo Scheduled", ids(spark, 1, 2, 3, 3)),
+        ("Proposal Sent", ids(spark, 1, 2, 3, 4, None)),
+        ("Contract Signed", ids(spark)),
+        ("Closed Won", ids(spark, 9)),
+    ]
+    result = rows(funnel.stage_conversion(stages, "customer_id"))
+    assert result == [("Demo Scheduled", 3, 100.0), ("Proposal Sent", 4, 133.3), ("Closed Won", 1, 33.3)]
+
+
+def test_drop_off_is_negative_where_a_stage_grows(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 1), (2, "a", 1), (1, "b", 2), (2, "b", 2), (3, "b", 2), (3, "b", 2), (1, "d", 4)],
+        "customer_id long, stage string, n int",
+    )
+    result = rows(funnel.stage_drop_off(df, "customer_id", "stage", "n"))
+    assert result == [("a", 2, None, None), ("b", 3, 2, -50.0), ("d", 1, 3, 66.7)]
+
+
+def test_time_in_stage_leaves_out_open_stages(spark):
+    data = [("a", "2024-01-01", f"2024-01-{1 + days:02d}") for days in range(10)]
+    data += [("a", "2024-01-01", None), ("a", None, "2024-01-03"), ("b", "2024-01-05", "2024-01-02"), ("c", None, "2024-01-03")]
+    df = spark.createDataFrame([(s, day(a), day(b)) for s, a, b in data], "stage string, a date, b date")
+    result = rows(funnel.time_in_stage(df, "stage", "a", "b"))
+    assert result == [("a", 4.5, 0, 9, 4, 8), ("b", -3.0, -3, -3, -3, -3), ("c", None, None, None, None, None)]
+
+
+def test_segments_count_each_customer_once(spark):
+    df = spark.createDataFrame(
+        [("x", 1, 1), ("x", 1, 5), ("x", 2, 3), ("x", 3, 0), ("y", 1, 2), ("z", 4, 0)], "segment string, id long, stage int"
+    )
+    result = rows(funnel.conversion_by_segment(df, "segment", "id", "stage"))
+    assert result == [("x", 2, 2, 2, 1, 50.0), ("y", 1, 1, 0, 0, 0.0), ("z", 0, 0, 0, 0, None)]
+
+
+def test_a_channel_in_the_middle_of_a_path_counts_zero(spark):
+    touches = spark.createDataFrame(
+        [
+            (1, "ad", moment("2024-01-01 10:00:00"), 1),
+            (1, "mail", moment("2024-01-02 10:00:00"), 2),
+            (1, "call", moment("2024-01-03 10:00:00"), 3),
+            (2, "call", moment("2024-01-01 10:00:00"), 4),
+            (2, "ad", moment("2024-01-01 10:00:00"), 5),
+            (3, "web", moment("2024-01-01 10:00:00"), 6),
+            (None, "ad", moment("2024-01-01 10:00:00"), 7),
+        ],
+        "customer_id long, channel string, at timestamp_ntz, id long",
+    )
+    converted = ids(spark, 1, 2, 2, None)
+    result = rows(funnel.touch_attribution(touches, converted, "customer_id", "channel", "at", ["id"]))
+    assert result == [("ad", 1, 1), ("call", 1, 1), ("mail", 0, 0)]
+
+
+def test_listed_funnel_with_absent_stages(spark):
+    df = spark.createDataFrame(
+        [("a", 1), ("a", 2), ("a", 2), ("a", 3), ("c", 1), ("d", 1), ("d", 2), ("other", 9)], "stage string, customer_id long"
+    )
+    result = rows(funnel.listed_funnel(df, "stage", "customer_id", ["a", "b", "c", "d"]))
+    assert result == [
+        ("a", 1, 3, None, 100.0, 0.0, 100.0),
+        ("b", 2, 0, 3, 0.0, 100.0, 0.0),
+        ("c", 3, 1, 0, None, None, 33.3),
+        ("d", 4, 2, 1, 200.0, -100.0, 66.7),
+    ]
+
+
+def test_listed_funnel_without_a_first_stage(spark):
+    df = spark.createDataFrame([("b", 1)], "stage string, customer_id long")
+    result = rows(funnel.listed_funnel(df, "stage", "customer_id", ["a", "b"]))
+    assert result == [("a", 1, 0, None, 100.0, 0.0, None), ("b", 2, 1, 0, None, None, None)]

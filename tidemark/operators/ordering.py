@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from itertools import accumulate
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.measures import plus
-from tidemark.operators.skew import COPY_CHUNK, collapse_copies, expand_copies, match
+from tidemark.operators.skew import COPY_CHUNK, Split, collapse_copies, expand_copies, match
 from tidemark.session import settle
 
 ONE_TASK_ROWS = 1_000_000
@@ -21,12 +22,12 @@ ONE_TASK_ROWS = 1_000_000
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in these
 
 
-def ordered_slices(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+def ordered_slices(df: DataFrame, order: Sequence[Column], slices: int) -> DataFrame:
     """``df`` in sorted slices: ``_slice`` numbers the slice, ``_place`` the row in it from 0.
 
     Rows that agree on every order column share a slice, so the order should end in an id.
     """
-    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_rows = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
     kept = settle(sorted_rows.withColumn("_at", F.monotonically_increasing_id()))
     return kept.withColumns(
         {
@@ -41,12 +42,12 @@ def global_position(
 ) -> tuple[DataFrame, int]:
     """(``df`` with its 1-based place in the order, number of rows). ``df`` is read twice.
 
-    Up to ``one_task_rows`` rows are ranked by a plain window; more go through slices.
+    Up to ``one_task_rows`` rows are ranked by a plain window; more go through slices of that size.
     """
     rows = df.count()
     if rows <= one_task_rows:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint")), rows
-    slices = ordered_slices(df, order)
+    slices = ordered_slices(df, order, ceil(rows / one_task_rows))
     counts = slices.groupBy("_slice").count().orderBy("_slice").collect()  # one row per slice
     starts = [0, *accumulate(row["count"] for row in counts)]
     offsets = df.sparkSession.createDataFrame(
@@ -57,7 +58,7 @@ def global_position(
 
 
 def ranked_in_slices(
-    hot: DataFrame,
+    split: Split,
     keys: Sequence[str],
     value: str,
     order: Sequence[Column],
@@ -70,7 +71,7 @@ def ranked_in_slices(
     ``order`` starts with ``value`` and ends in tie-breakers. Each slice ranks its own rows; the
     totals of the slices before it, and the tie that runs over from the last of them, complete the ranks.
     """
-    slices = ordered_slices(collapse_copies(hot, "_copies"), [*map(F.col, keys), *order])
+    slices = ordered_slices(collapse_copies(split.hot, "_copies"), [*map(F.col, keys), *order], split.slices)
     in_key = Window.partitionBy("_slice", *keys).orderBy("_place")
     by_value = Window.partitionBy("_slice", *keys).orderBy(order[0])
     local = (
@@ -111,16 +112,16 @@ def ranked_in_slices(
         .withColumn(rank, (start + 1).cast("bigint"))
         .withColumn(dense_rank, (F.col("_dense") + F.col("_values_before")).cast("bigint"))
         .withColumn(row_number, F.col("_rows_before") + F.col("_before"))
-        .select(*hot.columns, "_copies", rank, dense_rank, row_number)
+        .select(*split.hot.columns, "_copies", rank, dense_rank, row_number)
     )
     return _unfold(ranked, slices).withColumn(row_number, F.col(row_number) + F.col("_copy")).drop("_copy")
 
 
 def running_sum_in_slices(
-    hot: DataFrame, keys: Sequence[str], order: Sequence[Column], step: Column, out: str
+    split: Split, keys: Sequence[str], order: Sequence[Column], step: Column, out: str
 ) -> DataFrame:
     """Running sum of ``step`` within keys that have too many rows for one task."""
-    slices = ordered_slices(collapse_copies(hot, "_copies"), [*map(F.col, keys), *order])
+    slices = ordered_slices(collapse_copies(split.hot, "_copies"), [*map(F.col, keys), *order], split.slices)
     total = step * F.col("_copies")
     in_key = Window.partitionBy("_slice", *keys).orderBy("_place")
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -135,7 +136,7 @@ def running_sum_in_slices(
     summed = (
         match(slices.withColumn("_before", before), F.broadcast(carried), ["_slice", *keys], "inner")
         .withColumn("_before", plus(F.col("_carried"), F.col("_before")))
-        .select(*hot.columns, "_copies", "_before")
+        .select(*split.hot.columns, "_copies", "_before")
     )
     unfolded = _unfold(summed, slices)
     return unfolded.withColumn(out, plus(F.col("_before"), step * F.col("_copy"))).drop("_before", "_copy")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.dates import epoch_seconds
-from tidemark.operators.skew import expand_copies, match
+from tidemark.operators.skew import expand_copies
 
 
 def sessionize(
@@ -20,31 +20,29 @@ def sessionize(
 
     Events without a time are sessions of their own, numbered before the others.
     """
-    timed = df.where(F.col(time).isNotNull())
-    cells = timed.groupBy(customer, F.floor(epoch_seconds(df, time) / F.lit(gap_seconds)).alias("_cell")).agg(
+    cells = df.groupBy(customer, F.floor(epoch_seconds(df, time) / F.lit(gap_seconds)).alias("_cell")).agg(
         F.min(time).alias("_start"), F.max(time).alias("_end"), F.count(F.lit(1)).alias("_events")
     )
-    timeline = Window.partitionBy(customer).orderBy("_cell")
+    timeline = Window.partitionBy(customer).orderBy("_cell")  # events without a time come first
     pause = epoch_seconds(cells, "_start") - F.lag(epoch_seconds(cells, "_end")).over(timeline)
-    starts = F.when(pause.isNull() | (pause > gap_seconds), 1).otherwise(0)
+    starts = (
+        F.when(F.col("_cell").isNull(), F.col("_events")).when(pause.isNull() | (pause > gap_seconds), 1).otherwise(0)
+    )
     numbered = cells.withColumn("_new", starts).withColumn(
-        "_session", F.sum("_new").over(timeline.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        "session_id", F.sum("_new").over(timeline.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    sessions = numbered.groupBy(customer, "_session").agg(
-        F.min("_start").alias("session_start"),
-        F.max("_end").alias("session_end"),
-        F.sum("_events").alias("events_in_session"),
+    sessions = (
+        numbered.where(F.col("_cell").isNotNull())
+        .groupBy(customer, "session_id")
+        .agg(
+            F.min("_start").alias("session_start"),
+            F.max("_end").alias("session_end"),
+            F.sum("_events").alias("events_in_session"),
+        )
     )
     minutes = (epoch_seconds(sessions, "session_end") - epoch_seconds(sessions, "session_start")) / F.lit(60)
+    timed = sessions.withColumn("session_duration_mins", F.round(minutes, 1))
     untimed = df.where(F.col(time).isNull()).groupBy(customer).agg(F.count(F.lit(1)).alias("_untimed"))
-    shifted = match(sessions, untimed, [customer], "left").select(
-        customer,
-        (F.col("_session") + F.coalesce("_untimed", F.lit(0))).alias("session_id"),
-        "session_start",
-        "session_end",
-        "events_in_session",
-        F.round(minutes, 1).alias("session_duration_mins"),
-    )
     no_time = F.lit(None).cast(df.schema[time].dataType)
     alone = expand_copies(untimed, "_untimed", "session_id").select(
         customer,
@@ -54,5 +52,5 @@ def sessionize(
         F.lit(1).cast("bigint").alias("events_in_session"),
         F.lit(None).cast("double").alias("session_duration_mins"),
     )
-    result = shifted.unionByName(alone)
+    result = timed.unionByName(alone)
     return result.orderBy(customer, "session_id") if ordered else result

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,26 +19,34 @@ BROADCAST_ROWS = 1_000_000
 COPY_CHUNK = 100_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The keys with more than ``hot_rows`` rows (NULL counts as a key), or None.
+class Split(NamedTuple):
+    """Rows divided by whether their key is hot. ``hot`` and ``keys`` are None when no key is."""
+
+    cold: DataFrame
+    hot: DataFrame | None = None
+    keys: DataFrame | None = None
+    slices: int = 0  # tasks that the hot rows fill
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame | None, int]:
+    """The keys with more than ``hot_rows`` rows (NULL counts as a key), and their rows in all.
 
     Counts are combined before the shuffle and only the key columns are read.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    found = counted.drop("_rows").collect()
+    found = counted.collect()
     if not found:
-        return None
-    return df.sparkSession.createDataFrame(found, schema=counted.drop("_rows").schema)
+        return None, 0
+    hot = df.sparkSession.createDataFrame(found, schema=counted.schema)
+    return hot.drop("_rows"), sum(row["_rows"] for row in found)
 
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """(cold rows, hot rows, hot keys); the last two are None when no key is hot."""
-    hot = hot_keys(df, keys, hot_rows)
+def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Split:
+    hot, rows = hot_keys(df, keys, hot_rows)
     if hot is None:
-        return df, None, None
-    return match(df, F.broadcast(hot), keys, "left_anti"), match(df, F.broadcast(hot), keys, "left_semi"), hot
+        return Split(df)
+    small = F.broadcast(hot)
+    return Split(match(df, small, keys, "left_anti"), match(df, small, keys, "left_semi"), hot, ceil(rows / hot_rows))
 
 
 def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -57,7 +67,7 @@ def left_join_lookups(
     Cold rows: one shuffle of each input on the key, shared by all the joins. A hot key (often NULL)
     stays where it is, and the few lookup rows that it needs are broadcast to it.
     """
-    cold, hot, keys = split_hot(rows, [key], hot_rows)
+    cold, hot, keys, _ = split_hot(rows, [key], hot_rows)
     joined = reduce(lambda left, right: left.join(right, key, "left"), lookups, cold)
     if hot is None:
         return joined

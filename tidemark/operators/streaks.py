@@ -10,8 +10,8 @@ from tidemark.operators.skew import expand_copies
 def activity_streaks(df: DataFrame, customer: str, date: str, dedupe: bool = True, ordered: bool = False) -> DataFrame:
     """Start, end and length of each run of consecutive active days.
 
-    A day with several rows counts once. ``dedupe=False`` counts every row, which cuts a streak at
-    each repeated day. Rows are first combined to one per customer and day, so what a window has to
+    A day with several rows counts once. ``dedupe=False`` counts every row, so that a repeated day
+    cuts a streak, and may tie it to days after a gap. Rows are first combined to one per customer and day, so what a window has to
     hold is bounded by the calendar, however busy the customer.
     """
     days = df.groupBy(customer, date).agg(F.count(F.lit(1)).alias("_rows"))

@@ -15,7 +15,7 @@ from tidemark.operators.ordering import (
     ranked_in_slices,
     running_sum_in_slices,
 )
-from tidemark.operators.skew import HOT_ROWS, match, split_hot
+from tidemark.operators.skew import HOT_ROWS, Split, match, split_hot
 from tidemark.session import settle
 
 
@@ -31,11 +31,11 @@ def running_total(
 ) -> DataFrame:
     """Cumulative amount per key, row by row (``tie_breakers`` settle rows of equal order)."""
     columns = [F.col(order), *map(F.col, tie_breakers)]
-    cold, hot, _ = split_hot(df, [key], hot_rows)
+    split = split_hot(df, [key], hot_rows)
     up_to_here = Window.partitionBy(key).orderBy(*columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    result = cold.withColumn(out, F.sum(money(amount)).over(up_to_here).cast("double"))
-    if hot is not None:
-        sliced = running_sum_in_slices(hot, [key], columns, money(amount), out)
+    result = split.cold.withColumn(out, F.sum(money(amount)).over(up_to_here).cast("double"))
+    if split.hot is not None:
+        sliced = running_sum_in_slices(split, [key], columns, money(amount), out)
         result = result.unionByName(sliced.withColumn(out, F.col(out).cast("double")))
     return result.orderBy(key, *columns) if ordered else result
 
@@ -46,17 +46,17 @@ def rankings(
     """RANK, DENSE_RANK and ROW_NUMBER within each key, highest value first."""
     order = [F.col(value).desc_nulls_last(), *map(F.col, tie_breakers)]
     names = ("rank", "dense_rank", "row_num")
-    cold, hot, _ = split_hot(df, [key], hot_rows)
+    split = split_hot(df, [key], hot_rows)
     by_value = Window.partitionBy(key).orderBy(order[0])
-    result = cold.withColumns(
+    result = split.cold.withColumns(
         {
             "rank": F.rank().over(by_value).cast("bigint"),
             "dense_rank": F.dense_rank().over(by_value).cast("bigint"),
             "row_num": F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint"),
         }
     )
-    if hot is not None:
-        result = result.unionByName(ranked_in_slices(hot, [key], value, order, *names))
+    if split.hot is not None:
+        result = result.unionByName(ranked_in_slices(split, [key], value, order, *names))
     return result
 
 
@@ -93,7 +93,7 @@ def moving_average(
 
 def first_and_last(df: DataFrame, key: str, date: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Each row with its key's first and last date; a NULL date sorts first, as in the window form."""
-    cold, hot, keys = split_hot(df, [key], hot_rows)
+    cold, hot, _, _ = split_hot(df, [key], hot_rows)
     whole = Window.partitionBy(key).orderBy(date).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     result = cold.withColumns(
         {"first_event_date": F.first(date).over(whole), "last_event_date": F.last(date).over(whole)}
@@ -121,23 +121,23 @@ def spend_quartiles(
     highest_first = [F.col(spend).desc_nulls_last(), F.col(customer)]
     placed, rows = global_position(base, highest_first, "_position", one_task_rows)
     tiered = placed.withColumn("spend_quartile", tile(F.col("_position"), rows, tiles))
-    cold, hot, keys = split_hot(base, [segment], one_task_rows)
-    medians = cold.groupBy(segment).agg(F.median(spend).alias("median_spend_by_segment"))
-    if hot is None:
+    split = split_hot(base, [segment], one_task_rows)
+    medians = split.cold.groupBy(segment).agg(F.median(spend).alias("median_spend_by_segment"))
+    if split.hot is None:
         joined = match(tiered, medians, [segment], "left")
     else:
-        hot_medians = _medians_in_slices(hot, segment, spend, customer)
-        keys = F.broadcast(keys)
+        hot_medians = _medians_in_slices(split, segment, spend, customer)
+        keys = F.broadcast(split.keys)
         joined = match(match(tiered, keys, [segment], "left_anti"), medians, [segment], "left").unionByName(
             match(match(tiered, keys, [segment], "left_semi"), F.broadcast(hot_medians), [segment], "left")
         )
     return joined.select(customer, spend, "spend_quartile", "median_spend_by_segment")
 
 
-def _medians_in_slices(hot: DataFrame, key: str, value: str, tie_breaker: str) -> DataFrame:
+def _medians_in_slices(split: Split, key: str, value: str, tie_breaker: str) -> DataFrame:
     """Exact median per hot key: find the place of the middle rows and read only those."""
-    known = hot.where(F.col(value).isNotNull())
-    slices = ordered_slices(known, [F.col(key), F.col(value), F.col(tie_breaker)])
+    known = split.hot.where(F.col(value).isNotNull())
+    slices = ordered_slices(known, [F.col(key), F.col(value), F.col(tie_breaker)], split.slices)
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice and hot key.
     counts = (

@@ -76,7 +76,8 @@ def bucketed_spend(spark: SparkSession, customers: str, transactions: str, hot_r
     """
     people, payments = spark.table(customers), spark.table(transactions)
     files = spark.read.schema(payments.schema).orc(table_location(spark, transactions))
-    if hot_keys(files, ["customer_id"], hot_rows) is not None:
+    hot, _ = hot_keys(files, ["customer_id"], hot_rows)
+    if hot is not None:
         payments = files
     spend = payments.groupBy("customer_id").agg(F.sum(money("amount")).alias("_spend"))
     return (

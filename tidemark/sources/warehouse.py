@@ -46,6 +46,9 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), f
 def swap_table(spark: SparkSession, staged: str, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        # Some catalogs go on looking for the partitions under the old name.
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
 def query_to_table(spark: SparkSession, sql: str, table: str) -> None:
