@@ -17,8 +17,23 @@ AS_OF = "2001-08-02"  # the day after the last order
 CUTOVER = "1995-07-01"
 
 
+# Declared, so that no job has to look into the files for them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": """o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+        l_shipdate timestamp_ntz""",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 def star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _before_as_of(days: int) -> Column:
@@ -37,15 +52,17 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transactions_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = star(spark, sf_dir, "customer")
-    nation = star(spark, sf_dir, "nation")
-    region = star(spark, sf_dir, "region")
-    homes = (
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.col("c_custkey").alias("customer_id"), F.col("r_name").alias("region"))
+def _home_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        star(spark, sf_dir, "customer")
+        .join(star(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(star(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(F.col("c_custkey").alias("customer_id"), "r_name")
     )
+
+
+def transactions_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    homes = _home_regions(spark, sf_dir).withColumnRenamed("r_name", "region")
     return transactions(spark, sf_dir).join(homes, "customer_id")
 
 
@@ -112,17 +129,24 @@ def _stage_rules() -> list[Column]:
     ]
 
 
+def _reached(place: int) -> Column:
+    """Whether a line got to a stage: each rule counts only after all rules before it."""
+    return reduce(lambda a, b: a & b, _stage_rules()[:place])
+
+
 def _stage() -> Column:
-    """The furthest stage of a line: each rule counts only after all rules before it."""
-    rules = _stage_rules()
-    reached = [reduce(lambda a, b: a & b, rules[: place + 1]) for place in range(len(rules))]
-    return reduce(lambda total, rule: total + rule.cast("int"), reached, F.lit(0))
+    """The furthest stage of a line."""
+    last = len(FUNNEL_STAGES)
+    furthest = F.when(_reached(last), last)
+    for place in range(last - 1, 0, -1):
+        furthest = furthest.when(_reached(place), place)
+    return furthest
 
 
 def stage_tables(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
     lines = star(spark, sf_dir, "lineitem").withColumn("customer_id", F.col("l_orderkey"))
     return [
-        (name, lines.where(_stage() >= place).select("customer_id"))
+        (name, lines.where(_reached(place)).select("customer_id"))
         for place, name in enumerate(FUNNEL_STAGES, start=1)
     ]
 
@@ -200,7 +224,7 @@ def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = star(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "customer_id")
     return customer.join(_order_dates(spark, sf_dir), "customer_id").withColumns(
         {
-            "signup_date": F.date_sub("first_order", F.pmod("customer_id", F.lit(60)).cast("int")),
+            "signup_date": F.date_sub("first_order", 2 * F.col("c_nationkey")),
             "plan_type": F.when(F.col("c_acctbal") < 2500, "basic").when(F.col("c_acctbal") < 6000, "plus").otherwise("pro"),
             "is_active": F.col("c_acctbal") >= 0,
             "is_churned": F.col("last_order") < _before_as_of(180),
@@ -317,15 +341,16 @@ def customer_monthly_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events, to be loaded into the partitioned table."""
-    regions = F.array(F.lit("US"), F.lit("EU"), F.lit("APAC"))
-    return star(spark, sf_dir, "events").select(
-        F.col("user_id").alias("customer_id"),
+    market = F.when(F.col("r_name") == "AMERICA", "US").when(F.col("r_name") == "EUROPE", "EU").otherwise("APAC")
+    events = star(spark, sf_dir, "events").withColumnRenamed("user_id", "customer_id")
+    return events.join(_home_regions(spark, sf_dir), "customer_id").select(
+        "customer_id",
         "event_type",
         F.col("value").alias("event_value"),
         F.col("event_id").cast("string").alias("session_id"),
         F.when(F.col("event_type").isin("view", "click"), "web").otherwise("mobile").alias("platform"),
         F.col("ts").alias("created_at"),
-        F.element_at(regions, (F.pmod("user_id", F.lit(3)) + 1).cast("int")).alias("region"),
+        market.alias("region"),
     )
 
 

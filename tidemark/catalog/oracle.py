@@ -71,7 +71,7 @@ TABLES = {
         max(o_orderdate::DATE) AS last_order, {msum('o_totalprice')} AS spend,
         count(DISTINCT date_trunc('month', o_orderdate)) AS order_months FROM orders GROUP BY 1""",
     "people": f"""SELECT d.*, c_name, c_mktsegment, c_acctbal, n_name, c_nationkey,
-        CAST(first_order - CAST(customer_id % 60 AS INTEGER) AS DATE) AS signup_date,
+        CAST(first_order - 2 * c_nationkey AS DATE) AS signup_date,
         CASE WHEN c_acctbal < 2500 THEN 'basic' WHEN c_acctbal < 6000 THEN 'plus' ELSE 'pro' END AS plan_type,
         c_acctbal >= 0 AS is_active, last_order < {AS_OF} - 180 AS is_churned
         FROM dates d JOIN customer ON c_custkey = customer_id JOIN nation ON n_nationkey = c_nationkey""",
@@ -94,7 +94,9 @@ TABLES = {
         CAST(event_id AS VARCHAR) AS session_id,
         CASE WHEN event_type IN ('view', 'click') THEN 'web' ELSE 'mobile' END AS platform,
         strftime(ts, '%Y-%m-%d') AS event_date,
-        CASE user_id % 3 WHEN 0 THEN 'US' WHEN 1 THEN 'EU' ELSE 'APAC' END AS region FROM events""",
+        CASE r_name WHEN 'AMERICA' THEN 'US' WHEN 'EUROPE' THEN 'EU' ELSE 'APAC' END AS region
+        FROM events JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey
+        JOIN region ON r_regionkey = n_regionkey""",
 }
 USES = {
     "regional": ["transactions"],

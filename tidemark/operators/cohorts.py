@@ -40,7 +40,8 @@ def monthly_retention(df: DataFrame, customer: str, date: str) -> DataFrame:
 def retention_matrix(df: DataFrame, customer: str, date: str, max_period: int | None = None) -> DataFrame:
     """Retention with one row per cohort month and one column per period; NULL where nobody was active.
 
-    Without ``max_period`` the columns cover the whole span of the data (one small aggregate).
+    Without ``max_period`` the columns cover the whole span of the data (one small aggregate); with
+    it, the result has these columns whatever the data, and a later period has none.
     """
     dated = df.where(F.col(date).isNotNull() & F.col(customer).isNotNull())
     if max_period is None:

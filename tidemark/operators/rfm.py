@@ -92,7 +92,8 @@ def rfm_by_quantile(
     """Quintile scores (5 = best) and segments.
 
     Recency is cut at the quintiles of its values, so customers with equal recency score alike;
-    frequency and monetary value are ranked first, ties by customer id, and the ranks are cut.
+    frequency and monetary value are ranked first, ties by customer id, and the ranks are cut. A
+    customer without any date has no total and no segment.
     """
     people = settle(
         df.where(F.col(customer).isNotNull())
@@ -108,8 +109,9 @@ def rfm_by_quantile(
         scored, rows = global_position(scored, [F.col(measure), F.col(customer)], "_position", one_task_rows)
         scored = scored.withColumn(score, quantile_bin(F.col("_position"), rows, TILES)).drop("_position")
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
+    segment = by_floor(F.col("rfm_total"), QUANTILE_SEGMENTS, QUANTILE_REMAINDER)
     return scored.withColumn("rfm_total", total).withColumn(
-        "rfm_segment", by_floor(F.col("rfm_total"), QUANTILE_SEGMENTS, QUANTILE_REMAINDER)
+        "rfm_segment", F.when(F.col("rfm_total").isNotNull(), segment)
     )
 
 

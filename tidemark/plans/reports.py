@@ -59,16 +59,17 @@ def churn_risk_report(
     days = F.datediff(as_of_date(as_of), "last_login_date")
     columns = ("customer_id", "account_name", "csm_owner", "plan_type", "mrr", "signup_date")
     accounts = customers.where("is_active").select(*columns)
-    seen = left_join_lookups(accounts, [logins.select("customer_id", "last_login_date")], "customer_id", hot_rows)
-    tiered = seen.select(*columns, days.alias("days_since_login"), churn_tier(days).alias("churn_risk_tier"))
+    lookups = [
+        logins.select("customer_id", "last_login_date"),
+        support.select("customer_id", "open_support_tickets"),
+        billing.select("customer_id", "failed_payments_last_90d"),
+    ]
     kept = {"high_risk": CHURN_TIERS[:1], "medium_risk": CHURN_TIERS[:2]}.get(min_risk, CHURN_TIERS)
-    # Only the accounts that the report keeps are joined any further.
-    at_risk = tiered.where(F.col("churn_risk_tier").isin(*kept))
-    detailed = left_join_lookups(
-        at_risk,
-        [support.select("customer_id", "open_support_tickets"), billing.select("customer_id", "failed_payments_last_90d")],
-        "customer_id",
-        hot_rows,
+    # The tier depends on the first lookup alone, so the filter moves in front of the other joins.
+    detailed = (
+        left_join_lookups(accounts, lookups, "customer_id", hot_rows)
+        .withColumns({"days_since_login": days, "churn_risk_tier": churn_tier(days)})
+        .where(F.col("churn_risk_tier").isin(*kept))
     )
     rank = F.array_position(F.array(*map(F.lit, CHURN_TIERS)), F.col("churn_risk_tier"))
     return detailed.select(

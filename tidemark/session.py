@@ -21,6 +21,8 @@ def get_session(app: str = "tidemark", master: str | None = None, **settings: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # Without this, every column expression records its call site, which takes most of planning.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for name, value in {**defaults, **settings}.items():
