@@ -107,6 +107,13 @@ def test_hot_keys_are_found_with_null(spark):
     assert skew.hot_keys(df, ["k"], 6) == (None, 0)
 
 
+def test_hot_keys_are_found_in_a_sample(spark):
+    df = spark.range(600_000).selectExpr("if(id % 3 = 0, -1, id % 50) AS k")
+    keys, rows = skew.hot_keys(df, ["k"], 50_000)
+    assert [row.k for row in keys.collect()] == [-1]
+    assert 180_000 < rows < 220_000
+
+
 def test_a_third_of_all_events_from_one_customer(spark):
     hot = spark.range(20000).selectExpr("1L AS c", "timestamp_seconds(1700000000 + id % 7000 * 3) AS t")
     cold = spark.range(20000).selectExpr("id % 500 + 2 AS c", "timestamp_seconds(1700000000 + id * 97) AS t")
@@ -123,8 +130,7 @@ def test_a_third_of_all_events_from_one_customer(spark):
 @pytest.mark.parametrize("one_task_rows", [1000, 10])
 def test_global_position_equals_row_number(spark, one_task_rows):
     df = spark.range(500).selectExpr("id", "id * 7919 % 13 AS v")
-    placed, n = ordering.global_position(df, [F.col("v").desc(), F.col("id")], "p", one_task_rows)
-    assert n == 500
+    placed = ordering.global_position(df, [F.col("v").desc(), F.col("id")], 500, "p", one_task_rows)
     ours = [row.id for row in placed.orderBy("p").collect()]
     assert ours == [row.id for row in df.orderBy(F.desc("v"), "id").collect()]
     assert sorted(row.p for row in placed.collect()) == list(range(1, 501))

@@ -73,6 +73,9 @@ def test_an_empty_result_is_not_loaded(spark, database):
     assert warehouse.load_results(result, table, month_columns=["cohort_month"])
     assert not warehouse.load_results(result.where("n > 5"), table)
     assert rows(spark.table(table)) == [("2024-02", 5)]
+    assert warehouse.load_results(result.withColumn("cohort_month", F.lit("x")), table, "WRITE_APPEND")
+    assert rows(spark.table(table), "cohort_month") == [("2024-02", 5), ("x", 5)]
+    assert [found.name for found in spark.catalog.listTables(database)] == ["t"]
 
 
 def test_csv_has_a_header_and_one_folder_per_name(spark, tmp_path):

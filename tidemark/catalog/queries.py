@@ -13,7 +13,7 @@ from tidemark.catalog.inputs import AS_OF, CUTOVER
 from tidemark.functions.dates import month_start
 from tidemark.operators import churn, cleaning, cohorts, funnel, rfm, rollups, sessions, streaks, windows
 from tidemark.plans import lifecycle_job, reports
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, settle
 from tidemark.sources import export, extracts, layout, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +60,8 @@ def w1_running_total_hot(spark, d):
 
 @query
 def w2_rankings(spark, d):
-    return windows.rankings(inputs.sales_performance(spark, d), "region", "revenue", ["sales_rep_id"])
+    sales = settle(inputs.sales_performance(spark, d))
+    return windows.rankings(sales, "region", "revenue", ["sales_rep_id"])
 
 
 @query
@@ -237,7 +238,7 @@ def h2_rfm_by_ntile_best_high_sliced(spark, d):
 @query
 def h3_churn_features(spark, d):
     return churn.churn_features(
-        inputs.customers(spark, d),
+        settle(inputs.customers(spark, d)),
         inputs.login_summary(spark, d),
         inputs.transaction_summary(spark, d),
         inputs.support_summary(spark, d),
@@ -516,7 +517,7 @@ def r1_executive_summary(spark, d):
 def _report_tables(spark, d):
     return {
         "orders": inputs.weekly_orders(spark, d),
-        "customers": inputs.customers(spark, d),
+        "customers": settle(inputs.customers(spark, d)),
         "login_summary": inputs.login_summary(spark, d),
         "support_summary": inputs.support_summary(spark, d),
         "billing_summary": inputs.billing_summary(spark, d),

@@ -38,15 +38,14 @@ def ordered_slices(df: DataFrame, order: Sequence[Column], slices: int) -> DataF
 
 
 def global_position(
-    df: DataFrame, order: Sequence[Column], out: str, one_task_rows: int = ONE_TASK_ROWS
-) -> tuple[DataFrame, int]:
-    """(``df`` with its 1-based place in the order, number of rows). ``df`` is read twice.
+    df: DataFrame, order: Sequence[Column], rows: int, out: str, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """``df``, which has ``rows`` rows, with the 1-based place of each in the order.
 
     Up to ``one_task_rows`` rows are ranked by a plain window; more go through slices of that size.
     """
-    rows = df.count()
     if rows <= one_task_rows:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint")), rows
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     slices = ordered_slices(df, order, ceil(rows / one_task_rows))
     counts = slices.groupBy("_slice").count().orderBy("_slice").collect()  # one row per slice
     starts = [0, *accumulate(row["count"] for row in counts)]
@@ -54,7 +53,7 @@ def global_position(
         [(row["_slice"], start) for row, start in zip(counts, starts)], "_slice bigint, _start bigint"
     )
     placed = slices.join(F.broadcast(offsets), "_slice")
-    return placed.withColumn(out, F.col("_start") + F.col("_place") + 1).drop("_slice", "_place", "_start"), rows
+    return placed.withColumn(out, F.col("_start") + F.col("_place") + 1).drop("_slice", "_place", "_start")
 
 
 def ranked_in_slices(

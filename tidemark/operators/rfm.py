@@ -61,9 +61,9 @@ def rfm_by_ntile(
         "f_score": F.col("frequency").desc_nulls_last(),
         "m_score": F.col("monetary").desc_nulls_last(),
     }
-    scored = people
+    scored, rows = people, people.count()
     for score, best in best_first.items():
-        scored, rows = global_position(scored, [best, F.col(customer)], "_position", one_task_rows)
+        scored = global_position(scored, [best, F.col(customer)], rows, "_position", one_task_rows)
         tiles = tile(F.col("_position"), rows, TILES)
         scored = scored.withColumn(score, tiles if polarity == "as_written" else TILES + 1 - tiles).drop("_position")
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
@@ -104,9 +104,9 @@ def rfm_by_quantile(
             F.coalesce(money_sum(amount), F.lit(0.0)).alias("monetary"),
         )
     )
-    scored = people.withColumn("r_score", _recency_score(people, "recency_days"))
+    scored, rows = people.withColumn("r_score", _recency_score(people, "recency_days")), people.count()
     for score, measure in {"f_score": "frequency", "m_score": "monetary"}.items():
-        scored, rows = global_position(scored, [F.col(measure), F.col(customer)], "_position", one_task_rows)
+        scored = global_position(scored, [F.col(measure), F.col(customer)], rows, "_position", one_task_rows)
         scored = scored.withColumn(score, quantile_bin(F.col("_position"), rows, TILES)).drop("_position")
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     segment = by_floor(F.col("rfm_total"), QUANTILE_SEGMENTS, QUANTILE_REMAINDER)

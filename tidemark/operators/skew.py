@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 HOT_ROWS = 5_000_000
 BROADCAST_ROWS = 1_000_000
 COPY_CHUNK = 100_000
+SEARCH_ROWS = 5_000  # rows that a hot key has in the sample it is looked for in
 
 
 class Split(NamedTuple):
@@ -29,19 +30,24 @@ class Split(NamedTuple):
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame | None, int]:
-    """The keys with more than ``hot_rows`` rows (NULL counts as a key), and their rows in all.
+    """The keys with more than ``hot_rows`` rows (NULL counts as a key), and about how many rows they have.
 
-    Counts are combined before the shuffle and only the key columns are read.
+    Only the key columns are read. Where ``hot_rows`` is large, keys are looked for in a sample in which a
+    hot key still has some thousand rows, so that hardly anything is shuffled. The sample decides which plan
+    a key takes and nothing else; both plans use all rows and give the same result.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    found = counted.collect()
+    share = min(1.0, SEARCH_ROWS / hot_rows)
+    looked_at = df.select(*keys) if share == 1.0 else df.select(*keys).sample(share, seed=1)
+    counted = looked_at.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    found = counted.where(F.col("_rows") > hot_rows * share).collect()
     if not found:
         return None, 0
     hot = df.sparkSession.createDataFrame(found, schema=counted.schema)
-    return hot.drop("_rows"), sum(row["_rows"] for row in found)
+    return hot.drop("_rows"), ceil(sum(row["_rows"] for row in found) / share)
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Split:
+    """``df`` is read for the search, and again for each part that is used: pass a table or a settled result."""
     hot, rows = hot_keys(df, keys, hot_rows)
     if hot is None:
         return Split(df)

@@ -119,7 +119,8 @@ def spend_quartiles(
     """Spend tier over all customers (1 = highest) and the median spend of the customer's segment."""
     base = settle(df.select(customer, spend, segment))
     highest_first = [F.col(spend).desc_nulls_last(), F.col(customer)]
-    placed, rows = global_position(base, highest_first, "_position", one_task_rows)
+    rows = base.count()
+    placed = global_position(base, highest_first, rows, "_position", one_task_rows)
     tiered = placed.withColumn("spend_quartile", tile(F.col("_position"), rows, tiles))
     split = split_hot(base, [segment], one_task_rows)
     medians = split.cold.groupBy(segment).agg(F.median(spend).alias("median_spend_by_segment"))

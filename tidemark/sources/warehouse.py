@@ -35,12 +35,16 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), f
 
     The new rows are written beside the old ones, which stay until the write has succeeded.
     """
-    spark = df.sparkSession
+    swap_table(df.sparkSession, stage_table(df, table, partition_by, fmt), table)
+
+
+def stage_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> str:
+    """Write ``df`` beside ``table`` and return the name of what was written."""
     staged = f"{table}__staged"
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {staged}")
     writer = df.write.format(fmt)
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(staged)
-    swap_table(spark, staged, table)
+    return staged
 
 
 def swap_table(spark: SparkSession, staged: str, table: str) -> None:
@@ -59,9 +63,19 @@ def query_to_table(spark: SparkSession, sql: str, table: str) -> None:
 def load_results(
     df: DataFrame, table: str, mode: str = "WRITE_TRUNCATE", month_columns: Sequence[str] = ()
 ) -> bool:
-    """Write a result with its months as ``yyyy-MM`` text. An empty result leaves the old table alone."""
-    if df.isEmpty():
-        return False
+    """Write a result with its months as ``yyyy-MM`` text. An empty result leaves the old table alone.
+
+    The result is computed once, into a table of its own, and looked at there.
+    """
+    spark = df.sparkSession
     texts = {name: F.date_format(name, "yyyy-MM") for name in month_columns}
-    load_table(df.withColumns(texts) if texts else df, table, mode)
+    staged = stage_table(df.withColumns(texts) if texts else df, table)
+    if spark.table(staged).isEmpty():
+        spark.sql(f"DROP TABLE {staged}")
+        return False
+    if mode == "WRITE_TRUNCATE":
+        swap_table(spark, staged, table)
+    else:
+        load_table(spark.table(staged), table, mode)
+        spark.sql(f"DROP TABLE {staged}")
     return True
