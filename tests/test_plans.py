@@ -94,3 +94,17 @@ def test_number_of_shuffles(spark, name, most):
 def test_no_python_in_any_plan(spark):
     for name in ("k1_monthly_retention", "e1_sessions", "h3_churn_features", "w1_running_total", "c3_transform_transactions", "f5_touch_attribution"):
         assert not re.search("Python|ArrowEval|MapInPandas", plan(QUERIES[name](spark, SF_DIR)))
+
+
+def test_hot_rows_are_not_shuffled_by_key(spark):
+    """All event types are hot: the rows keep their place and the ends of each key are broadcast."""
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        rows = inputs.customer_events(spark, SF_DIR)
+        hot = windows.first_and_last(rows, "event_type", "event_date", hot_rows=10)
+        assert "SortMergeJoin" not in plan(hot)
+        assert plan(hot).count("BroadcastHashJoin") >= 3
+
+
+def test_sliced_windows_are_per_slice(spark):
+    text = plan(QUERIES["w1_running_total_hot"](spark, "/root/testdata/sf0.01"))
+    assert re.search(r"Exchange hashpartitioning\(_slice#\d+L, product_line#\d+", text)

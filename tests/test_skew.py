@@ -58,6 +58,18 @@ def test_rankings_with_one_tie_over_many_slices(spark):
     assert slices.select("_slice").distinct().count() > 30
 
 
+def test_copies_of_one_row(spark):
+    """Copies that would fill several slices are counted first, and all of them come back."""
+    many = spark.range(3000).selectExpr("1L AS k", "DATE'2024-01-01' AS d", "7L AS id", "0.25D AS amount")
+    few = spark.range(500).selectExpr("1L AS k", "DATE'2024-01-01' + cast(id % 3 AS int) AS d", "id", "1.0D AS amount")
+    df = many.unionByName(few)
+    for hot_rows in (100, 3200):  # with and without counting the copies
+        total = windows.running_total(df, "k", "d", "amount", ["id"], hot_rows=hot_rows)
+        assert same(total, windows.running_total(df, "k", "d", "amount", ["id"]))
+        ranked = windows.rankings(df.drop("d"), "k", "amount", ["id"], hot_rows=hot_rows)
+        assert same(ranked, windows.rankings(df.drop("d"), "k", "amount", ["id"]))
+
+
 def test_first_and_last(spark):
     df = spark.createDataFrame(skewed_rows(300, 4), SCHEMA)
     for rows in (df, df.where("d IS NOT NULL")):

@@ -70,7 +70,7 @@ def ranked_in_slices(
     ``order`` starts with ``value`` and ends in tie-breakers. Each slice ranks its own rows; the
     totals of the slices before it, and the tie that runs over from the last of them, complete the ranks.
     """
-    slices = ordered_slices(collapse_copies(split.hot, "_copies"), [*map(F.col, keys), *order], split.slices)
+    slices = _hot_slices(split, keys, order)
     in_key = Window.partitionBy("_slice", *keys).orderBy("_place")
     by_value = Window.partitionBy("_slice", *keys).orderBy(order[0])
     local = (
@@ -120,7 +120,7 @@ def running_sum_in_slices(
     split: Split, keys: Sequence[str], order: Sequence[Column], step: Column, out: str
 ) -> DataFrame:
     """Running sum of ``step`` within keys that have too many rows for one task."""
-    slices = ordered_slices(collapse_copies(split.hot, "_copies"), [*map(F.col, keys), *order], split.slices)
+    slices = _hot_slices(split, keys, order)
     total = step * F.col("_copies")
     in_key = Window.partitionBy("_slice", *keys).orderBy("_place")
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -141,6 +141,13 @@ def running_sum_in_slices(
     return unfolded.withColumn(out, plus(F.col("_before"), step * F.col("_copy"))).drop("_before", "_copy")
 
 
+def _hot_slices(split: Split, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Hot rows in slices by key and order; the other columns settle ties, so that any two rows can part."""
+    collapsed = collapse_copies(split.hot, "_copies", split.limit)
+    columns = [*map(F.col, keys), *order, *map(F.col, split.hot.columns)]
+    return ordered_slices(collapsed, columns, ceil(split.rows / split.limit))
+
+
 def _unfold(collapsed: DataFrame, slices: DataFrame) -> DataFrame:
     most = slices.agg(F.max("_copies")).first()[0]
     if most == 1:

@@ -26,7 +26,8 @@ class Split(NamedTuple):
     cold: DataFrame
     hot: DataFrame | None = None
     keys: DataFrame | None = None
-    slices: int = 0  # tasks that the hot rows fill
+    rows: int = 0  # about how many rows are hot
+    limit: int = 0  # rows that a task should take
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame | None, int]:
@@ -52,7 +53,7 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> S
     if hot is None:
         return Split(df)
     small = F.broadcast(hot)
-    return Split(match(df, small, keys, "left_anti"), match(df, small, keys, "left_semi"), hot, ceil(rows / hot_rows))
+    return Split(match(df, small, keys, "left_anti"), match(df, small, keys, "left_semi"), hot, rows, hot_rows)
 
 
 def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -73,7 +74,7 @@ def left_join_lookups(
     Cold rows: one shuffle of each input on the key, shared by all the joins. A hot key (often NULL)
     stays where it is, and the few lookup rows that it needs are broadcast to it.
     """
-    cold, hot, keys, _ = split_hot(rows, [key], hot_rows)
+    cold, hot, keys, _, _ = split_hot(rows, [key], hot_rows)
     joined = reduce(lambda left, right: left.join(right, key, "left"), lookups, cold)
     if hot is None:
         return joined
@@ -84,8 +85,14 @@ def left_join_lookups(
     return joined.unionByName(hot)
 
 
-def collapse_copies(df: DataFrame, copies: str) -> DataFrame:
-    """One row per distinct row, and how many there were; copies meet before the shuffle."""
+def collapse_copies(df: DataFrame, copies: str, limit: int) -> DataFrame:
+    """One row per distinct row, and how many there were; copies meet before the shuffle.
+
+    Where no row has more than ``limit`` copies, all rows stay as they are and count as one each.
+    """
+    repeated, _ = hot_keys(df, df.columns, limit)
+    if repeated is None:
+        return df.withColumn(copies, F.lit(1).cast("bigint"))
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copies))
 
 

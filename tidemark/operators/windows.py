@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -93,7 +94,7 @@ def moving_average(
 
 def first_and_last(df: DataFrame, key: str, date: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Each row with its key's first and last date; a NULL date sorts first, as in the window form."""
-    cold, hot, _, _ = split_hot(df, [key], hot_rows)
+    cold, hot, _, _, _ = split_hot(df, [key], hot_rows)
     whole = Window.partitionBy(key).orderBy(date).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     result = cold.withColumns(
         {"first_event_date": F.first(date).over(whole), "last_event_date": F.last(date).over(whole)}
@@ -138,7 +139,7 @@ def spend_quartiles(
 def _medians_in_slices(split: Split, key: str, value: str, tie_breaker: str) -> DataFrame:
     """Exact median per hot key: find the place of the middle rows and read only those."""
     known = split.hot.where(F.col(value).isNotNull())
-    slices = ordered_slices(known, [F.col(key), F.col(value), F.col(tie_breaker)], split.slices)
+    slices = ordered_slices(known, [F.col(key), F.col(value), F.col(tie_breaker)], ceil(split.rows / split.limit))
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice and hot key.
     counts = (
