@@ -149,9 +149,8 @@ def listed_funnel(df: DataFrame, stage: str, customer: str, stage_order: Sequenc
 
     A stage after an empty one has no rate (NULL). The first stage is 100 % and loses nothing.
     """
-    places = df.sparkSession.createDataFrame(
-        [(name, place) for place, name in enumerate(stage_order, start=1)], "stage string, stage_order int"
-    )
+    listed = F.posexplode(F.array(*map(F.lit, stage_order))).alias("_index", "stage")
+    places = df.sparkSession.range(1).select(listed).select("stage", (F.col("_index") + 1).alias("stage_order"))
     counts = df.groupBy(F.col(stage).alias("stage")).agg(F.count_distinct(customer).alias("users"))
     line = Window.orderBy("stage_order")
     is_first = F.col("stage_order") == 1

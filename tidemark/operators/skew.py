@@ -74,12 +74,13 @@ def left_join_lookups(
     Cold rows: one shuffle of each input on the key, shared by all the joins. A hot key (often NULL)
     stays where it is, and the few lookup rows that it needs are broadcast to it.
     """
-    cold, hot, keys, _, _ = split_hot(rows, [key], hot_rows)
-    joined = reduce(lambda left, right: left.join(right, key, "left"), lookups, cold)
-    if hot is None:
+    split = split_hot(rows, [key], hot_rows)
+    joined = reduce(lambda left, right: left.join(right, key, "left"), lookups, split.cold)
+    if split.hot is None:
         return joined
+    hot = split.hot
     for lookup in lookups:
-        needed = lookup.join(F.broadcast(keys), key, "left_semi")
+        needed = lookup.join(F.broadcast(split.keys), key, "left_semi")
         small = needed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
         hot = hot.join(F.broadcast(needed) if small else needed, key, "left")
     return joined.unionByName(hot)

@@ -94,19 +94,19 @@ def moving_average(
 
 def first_and_last(df: DataFrame, key: str, date: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Each row with its key's first and last date; a NULL date sorts first, as in the window form."""
-    cold, hot, _, _, _ = split_hot(df, [key], hot_rows)
+    split = split_hot(df, [key], hot_rows)
     whole = Window.partitionBy(key).orderBy(date).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    result = cold.withColumns(
+    result = split.cold.withColumns(
         {"first_event_date": F.first(date).over(whole), "last_event_date": F.last(date).over(whole)}
     )
-    if hot is None:
+    if split.hot is None:
         return result
     # One row per hot key; hot rows themselves are not shuffled.
-    ends = hot.groupBy(key).agg(
+    ends = split.hot.groupBy(key).agg(
         F.when(F.count(date) == F.count(F.lit(1)), F.min(date)).alias("first_event_date"),
         F.max(date).alias("last_event_date"),
     )
-    return result.unionByName(match(hot, F.broadcast(ends), [key], "inner"))
+    return result.unionByName(match(split.hot, F.broadcast(ends), [key], "inner"))
 
 
 def spend_quartiles(

@@ -24,6 +24,7 @@ def get_session(app: str = "tidemark", master: str | None = None, **settings: st
         # Without this, every column expression records its call site, which takes most of planning.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.checkpoint.compress": "true",
     }
     for name, value in {**defaults, **settings}.items():
         builder = builder.config(name, value)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.measures import money
 from tidemark.operators.skew import HOT_ROWS, hot_keys
 from tidemark.session import settings
-from tidemark.sources.warehouse import swap_table
+from tidemark.sources.warehouse import stage_table, swap_table
 
 EVENT_COLUMNS = ("customer_id", "event_type", "event_value", "session_id", "platform", "event_date", "region")
 EVENT_PARTITIONS = ("event_date", "region")
@@ -118,36 +118,34 @@ def compact_files(
     writes one. With partitions, rows are brought together by partition, and a large partition is
     written by several tasks.
     """
-    _merge(spark, lambda: spark.read.format(fmt).load(source), partition_by, target_bytes,
-           lambda writer: writer.format(fmt).mode("errorifexists").save(target))
+    with _merged_reads(spark, target_bytes):
+        merged = _together(spark.read.format(fmt).load(source), partition_by)
+        merged.write.format(fmt).partitionBy(*partition_by).mode("errorifexists").save(target)
     _same_rows(spark.read.format(fmt).load(source), spark.read.format(fmt).load(target))
 
 
 def compact_table(spark: SparkSession, table: str, fmt: str = "orc", target_bytes: int = TARGET_BYTES) -> None:
     """Rewrite a table with fewer, larger files; the old files stay until the new ones are checked."""
-    staged = f"{table}__staged"
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
     partition_by = [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
-    _merge(spark, lambda: spark.table(table), partition_by, target_bytes,
-           lambda writer: writer.format(fmt).saveAsTable(staged))
+    with _merged_reads(spark, target_bytes):
+        staged = stage_table(_together(spark.table(table), partition_by), table, partition_by, fmt)
     _same_rows(spark.table(table), spark.table(staged))
     swap_table(spark, staged, table)
 
 
-def _merge(spark, read, partition_by, target_bytes, write) -> None:
-    with settings(
+def _merged_reads(spark: SparkSession, target_bytes: int):
+    """Settings under which a task reads small files, and receives shuffled rows, up to the target size."""
+    return settings(
         spark,
         spark__sql__files__maxPartitionBytes=str(target_bytes),
         spark__sql__files__openCostInBytes="0",
         spark__sql__files__minPartitionNum="1",
         spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_bytes),
-    ):
-        rows = read()
-        if partition_by:
-            rows = rows.hint("rebalance", *partition_by)
-            write(rows.write.partitionBy(*partition_by))
-        else:
-            write(rows.write)
+    )
+
+
+def _together(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    return rows.hint("rebalance", *partition_by) if partition_by else rows
 
 
 def _same_rows(before: DataFrame, after: DataFrame) -> None:

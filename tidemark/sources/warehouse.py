@@ -42,8 +42,7 @@ def stage_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), fmt
     """Write ``df`` beside ``table`` and return the name of what was written."""
     staged = f"{table}__staged"
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {staged}")
-    writer = df.write.format(fmt)
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(staged)
+    df.write.format(fmt).partitionBy(*partition_by).saveAsTable(staged)
     return staged
 
 
@@ -67,6 +66,8 @@ def load_results(
 
     The result is computed once, into a table of its own, and looked at there.
     """
+    if mode not in WRITE_MODES:
+        raise ValueError(f"unknown write mode {mode!r}")
     spark = df.sparkSession
     texts = {name: F.date_format(name, "yyyy-MM") for name in month_columns}
     staged = stage_table(df.withColumns(texts) if texts else df, table)
