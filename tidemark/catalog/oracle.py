@@ -237,7 +237,7 @@ RISK_REPORT = f"""SELECT p.customer_id, c_name AS account_name, n_name AS csm_ow
     WHERE is_active AND {tier(days_from('last_login_date'))} IN ('high_risk', 'medium_risk')"""
 
 WEEKLY = f"""weekly AS (SELECT o_orderdate::DATE - CAST(dayofweek(o_orderdate) AS INTEGER) AS week_start,
-        count(DISTINCT o_custkey) AS active_customers, {msum('o_totalprice')} AS revenue, count(*) AS total_orders,
+        count(DISTINCT o_custkey) AS active_customers, {msum('o_totalprice')} AS revenue, count(DISTINCT o_orderkey) AS total_orders,
         {mavg('o_totalprice')} AS average FROM orders WHERE o_orderdate::DATE >= {AS_OF} - 84 GROUP BY 1)"""
 
 SEGMENTS = f"""SELECT c_mktsegment AS segment, plan_type, count(DISTINCT customer_id) AS total_customers,
@@ -384,13 +384,13 @@ def _all() -> dict[str, str]:
             {signed_round(f'{rate} - lag({rate}) OVER (ORDER BY month)', 2)} AS churn_rate_change_ppt FROM monthly"""
     sql["h6_rfm_by_quantile"] = given("transactions", also=quantile_rfm("FROM transactions")) + " FROM segmented"
     sql["h6_rfm_by_quantile_sliced"] = sql["h6_rfm_by_quantile"]
-    sql["c5_transform_rfm"] = given("extracted", also=quantile_rfm("FROM extracted")) + " FROM segmented"
+    sql["c5_transform_rfm"] = given("extracted", also=quantile_rfm("SELECT DISTINCT * FROM extracted")) + " FROM segmented"
     sql["e1_sessions"] = """WITH timed AS (SELECT user_id AS customer_id, ts, CAST(floor(epoch(ts)) AS BIGINT) AS s
             FROM events),
         gaps AS (SELECT *, s - lag(s) OVER (PARTITION BY customer_id ORDER BY ts) AS gap FROM timed),
         numbered AS (SELECT *, CAST(sum(CASE WHEN gap IS NULL OR gap > 1800 THEN 1 ELSE 0 END) OVER (
-            PARTITION BY customer_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
-            AS session_id FROM gaps)
+            PARTITION BY customer_id ORDER BY ts, gap DESC NULLS FIRST
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_id FROM gaps)
         SELECT customer_id, session_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events_in_session,
             round((max(s) - min(s)) / 60, 1) AS session_duration_mins FROM numbered GROUP BY ALL"""
 
@@ -439,7 +439,7 @@ def _all() -> dict[str, str]:
     sql["r2_churn_risk_report"] = given("people", "logins", "support", "billing") + " " + RISK_REPORT
     sql["r3_segment_performance"] = given("people") + " " + SEGMENTS
     sql["p1_lifecycle_job"] = given(
-        "extracted", "login_extract", also=f"{quantile_rfm('FROM extracted')}, {retention(EXTRACTED_AS_PURCHASES)}"
+        "extracted", "login_extract", also=f"{quantile_rfm('SELECT DISTINCT * FROM extracted')}, {retention(EXTRACTED_AS_PURCHASES)}"
     ) + f""" SELECT 'churn_risk_scores' AS result, {tier(days_from('last_login_date'))} AS label, count(*) AS n
         FROM login_extract GROUP BY ALL
         UNION ALL SELECT 'rfm_scores', rfm_segment, count(*) FROM segmented GROUP BY ALL
