@@ -4,8 +4,8 @@ from __future__ import annotations
 
 AS_OF = "DATE '2001-08-02'"
 STAGES = ("Lead Created", "Demo Scheduled", "Proposal Sent", "Contract Signed", "Closed Won")
-STAGE = """CASE WHEN l_linestatus <> 'F' THEN 1 WHEN l_returnflag NOT IN ('A', 'R') THEN 2
-    WHEN NOT l_quantity > 25 THEN 3 WHEN NOT l_discount >= 0.05 THEN 4 ELSE 5 END"""
+RULES = ("l_linestatus = 'F'", "l_returnflag IN ('A', 'R')", "l_quantity > 25", "l_discount >= 0.05")
+STAGE = "CASE " + " ".join(f"WHEN {' AND '.join(RULES[:n])} THEN {n + 1}" for n in range(4, 0, -1)) + " ELSE 1 END"
 STAGE_NAME = "CASE {} " + " ".join(f"WHEN {n} THEN '{name}'" for n, name in enumerate(STAGES, 1)) + " END"
 
 
@@ -126,8 +126,9 @@ def running(key: str) -> str:
 
 def ends(key: str) -> str:
     return f"""SELECT user_id AS customer_id, ts::DATE AS event_date, event_type,
-        min(ts::DATE) OVER (PARTITION BY {key}) AS first_event_date,
-        max(ts::DATE) OVER (PARTITION BY {key}) AS last_event_date FROM events"""
+        first_value(ts::DATE) OVER w AS first_event_date, last_value(ts::DATE) OVER w AS last_event_date
+        FROM events WINDOW w AS (PARTITION BY {key} ORDER BY ts::DATE NULLS FIRST
+            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
 
 
 QUARTILES = (
@@ -140,7 +141,7 @@ QUARTILES = (
     )
     + """ SELECT customer_id, total_spend,
         CAST(ntile(4) OVER (ORDER BY total_spend DESC, customer_id) AS INTEGER) AS spend_quartile,
-        m AS median_spend_by_segment FROM spend JOIN medians USING (segment)"""
+        m AS median_spend_by_segment FROM spend s JOIN medians d ON s.segment IS NOT DISTINCT FROM d.segment"""
 )
 
 
@@ -246,10 +247,10 @@ SEGMENTS = f"""SELECT c_mktsegment AS segment, plan_type, count(DISTINCT custome
         {pct('count(*) FILTER (is_churned)', 'count(*)', 2)} AS churn_rate_pct,
         round({mavg('spend')}, 2) AS avg_ltv FROM people GROUP BY ALL"""
 
-EVENT_ROWS = given("raw_events") + " SELECT * FROM raw_events"
+EVENT_ROWS = given("raw_events") + " SELECT * FROM raw_events WHERE event_date >= '2024-01-01'"
 REVENUE_ROWS = given("monthly") + " SELECT strftime(month, '{}') AS month, revenue FROM monthly"
 PAYMENTS = given("transactions") + " SELECT transaction_id, status, amount FROM transactions"
-TEXT_AMOUNT = "CASE WHEN product_line IN ('5-LOW', '2-HIGH') THEN 0.0::DOUBLE ELSE amount END AS amount"
+TEXT_AMOUNT = "CASE WHEN product_line NOT IN ('5-LOW', '2-HIGH') THEN coalesce(amount, 0) ELSE 0.0::DOUBLE END AS amount"
 PARTS = """year(transaction_date)::INTEGER AS transaction_date_year, month(transaction_date)::INTEGER AS transaction_date_month,
     quarter(transaction_date)::INTEGER AS transaction_date_quarter, weekofyear(transaction_date)::INTEGER AS transaction_date_week,
     day(transaction_date)::INTEGER AS transaction_date_day, dayname(transaction_date) AS transaction_date_weekday"""
@@ -336,7 +337,8 @@ def _all() -> dict[str, str]:
         AS billing_cycle, {month('signup_date')} AS cohort_month, count(DISTINCT customer_id) AS cohort_size,
         round(avg(order_months), 1) AS avg_months_active,
         {pct('count(*) FILTER (is_churned)', 'count(*)', 1)} AS churn_rate_pct FROM people GROUP BY ALL"""
-    sql["k5_retention_matrix"] = given("purchases", also=retention("FROM purchases")) + matrix(80)
+    dated = "FROM purchases WHERE purchase_date IS NOT NULL"
+    sql["k5_retention_matrix"] = given("purchases", also=retention(dated)) + matrix(80)
     sql["c5_transform_cohorts"] = given("extracted", also=retention(EXTRACTED_AS_PURCHASES)) + matrix(13)
     windows = ", ".join(
         f"count(DISTINCT customer_id) FILTER (since > {end - 30} AND since <= {end}) AS retained_{end}d"
@@ -417,8 +419,8 @@ def _all() -> dict[str, str]:
     sql["s10_partition_event_counts"] = given("raw_events") + """ SELECT customer_id, event_type, count(*) AS event_count
         FROM raw_events WHERE event_date = '2024-01-15' AND region = 'US' GROUP BY ALL"""
     sql["s11_load_event_partitions"] = given("raw_events") + """ SELECT * FROM raw_events e
-        WHERE event_type = 'purchase' OR event_date < '2024-01-15' OR NOT EXISTS (SELECT 1 FROM raw_events p
-            WHERE p.event_type = 'purchase' AND p.event_date = e.event_date AND p.region = e.region)"""
+        WHERE event_date >= '2024-01-01' AND (event_type = 'purchase' OR event_date < '2024-01-15' OR NOT EXISTS (SELECT 1 FROM raw_events p
+            WHERE p.event_type = 'purchase' AND p.event_date = e.event_date AND p.region = e.region))"""
     sql["s12_write_bucketed"] = SPEND_BY_SEGMENT.format("lifetime_value")
     sql["s13_bucketed_spend"] = sql["s13_bucketed_spend_hot"] = SPEND_BY_SEGMENT.format("total_spend")
     sql["s14_event_totals"] = given("raw_events") + f""" SELECT event_type, region, count(*) AS event_count,
