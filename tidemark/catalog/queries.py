@@ -360,7 +360,9 @@ def s1_run_query(spark, d):
         SELECT product_line, count(*) AS orders FROM transactions
         WHERE status = :status AND transaction_date >= CAST(:since AS DATE) GROUP BY product_line
     """
-    return warehouse.run_query(spark, sql, {"status": "completed", "since": "1998-01-01"})
+    result = warehouse.run_query(spark, sql, {"status": "completed", "since": "1998-01-01"})
+    spark.catalog.dropTempView("transactions")
+    return result
 
 
 @query
@@ -380,6 +382,7 @@ def s3_query_to_table(spark, d):
     table = f"{database}.lines"
     warehouse.query_to_table(spark, "SELECT product_line, status, count(*) AS n FROM transactions GROUP BY ALL", table)
     warehouse.query_to_table(spark, f"SELECT product_line, sum(n) AS orders FROM {table} GROUP BY product_line", table)
+    spark.catalog.dropTempView("transactions")
     return spark.table(table)
 
 
