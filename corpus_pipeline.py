@@ -27,19 +27,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id; of rows equal in id and text, one."""
     found = stream_dedup.exact_duplicates(docs).where("kept")
-    stays = found.groupBy(F.col("doc_id").alias("id_"), "text_digest").agg(F.count("*").alias("n_"))
-    stays = written(stays, "stays")
-    keyed = docs.withColumn("digest_", stream_dedup.digest_of(F.coalesce("text", F.lit(""))))
-
-    def among(rows: DataFrame) -> DataFrame:
-        match = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("digest_") == F.col("text_digest"))
-        return keyed.join(rows.select("id_", "text_digest"), match, "left_semi")
-
-    repeated = stays.where("n_ > 1")
-    kept = among(stays)
-    if not repeated.isEmpty():
-        kept = among(stays.where("n_ = 1")).unionByName(among(repeated).dropDuplicates(["doc_id", "digest_"]))
-    return kept.select(docs.columns)
+    stays = written(found.groupBy(F.col("doc_id").alias("id"), F.col("text_digest").alias("key")).agg(F.count("*").alias("n")), "stays")
+    digest = stream_dedup.digest_of(F.coalesce("text", F.lit("")))
+    # The row travels as one column, so that no column of it can be taken for one of these.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("row_id"), digest.alias("digest"))
+
+    def among(kept: DataFrame) -> DataFrame:
+        return rows.join(kept, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("key")), "left_semi")
+
+    repeated = stays.where("n > 1")
+    if repeated.isEmpty():
+        return among(stays).select("row.*")
+    once = among(stays.where("n = 1")).unionByName(among(repeated).dropDuplicates(["row_id", "digest"]))
+    return once.select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,135 @@
+import random
+
+import numpy as np
+import pytest
+
+from tidemark.llm import hyperminhash as hm
+from tidemark.llm.shingles import shingle_set, word_hashes
+
+
+def brute_sets(rows, k):
+    sets = {}
+    for doc_id, text in rows:
+        words = (text or "").encode().lower().split()
+        n = min(k, len(words))
+        sets[doc_id] = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
+    return sets
+
+
+def brute_components(rows, k, percent=80):
+    sets = brute_sets(rows, k)
+    component = {doc_id: doc_id for doc_id in sets}
+
+    def root(x):
+        while component[x] != x:
+            x = component[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((root(a), root(b)))
+                component[high] = low
+    return {doc_id: (len(sets[doc_id]), root(doc_id), root(doc_id) == doc_id) for doc_id in ids}
+
+
+def corpus(seed, n=160):
+    random.seed(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(n):
+        if texts and random.random() < 0.6:
+            words = random.choice(texts).split(" ")
+            for _ in range(random.randint(0, max(1, len(words) // 12))):
+                words[random.randrange(len(words))] = random.choice(vocabulary)
+        else:
+            words = random.choices(vocabulary, k=random.choice([1, 2, 3, 6, 12, 40, 200]))
+        texts.append(" ".join(words))
+    return list(enumerate(texts))
+
+
+def found(df):
+    return {row.doc_id: (row.n_shingles, row.component_id, row.kept) for row in df.collect()}
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_equals_brute_force(spark, k):
+    rows = corpus(k)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(hm.near_duplicates(docs, k=k)) == brute_components(rows, k)
+
+
+def test_chain_that_the_smallest_id_does_not_reach(spark):
+    """Each text is linked with the next one only; the buckets hold members of several components at first."""
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for step in range(12):
+        rows.append((step, " ".join(base)))
+        for i in range(5):
+            base[step * 5 + i] = f"new{step}{i}"
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute_components(rows, 2)
+    assert found(hm.near_duplicates(docs, k=2)) == expected
+
+
+
+def test_open_members(spark):
+    buckets = spark.createDataFrame([(1, 0, m) for m in (1, 2, 3, 4)] + [(2, 0, 9), (3, 7, 8), (3, 7, 9), (4, 7, 10)], "band long, hub long, member long")
+    label = spark.createDataFrame([(0, 0), (1, 0), (2, 0), (3, 3), (5, 3), (8, 8), (9, 8)], "id long, component long")
+    rows = {tuple(row) for row in hm.open_members(buckets, label).collect()}
+    assert rows == {(0, 1, 0, False), (0, 2, 0, False), (0, 3, 3, True), (0, 4, 4, True)}
+
+
+@pytest.mark.parametrize("chunk", [2, 512])
+def test_a_group_whose_hub_reaches_few(spark, monkeypatch, chunk):
+    """Copies of a base at several distances; the smallest id is the farthest, so most links are found in blocks."""
+    monkeypatch.setattr(hm, "CHUNK", chunk)
+    monkeypatch.setattr(hm, "COLUMNS", 50)
+    random.seed(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for doc_id in range(40):
+        words = list(base)
+        for place in random.sample(range(120), 12 if doc_id < 12 else random.choice([1, 3, 5, 8])):
+            words[place] = f"x{random.randrange(10**6)}"
+        rows.append((doc_id, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(hm.near_duplicates(docs, k=2)) == brute_components(rows, 2)
+
+
+def test_shingles_of_odd_texts():
+    assert len(word_hashes(b" \t\n\x0b\x0c\r")) == 0
+    assert len(word_hashes("a\x1cb\xa0c".encode())) == 1
+    assert (word_hashes(b"ABC abc") == word_hashes(b"abc Abc")).all()
+    assert len(shingle_set(b"one two three", 5)) == 1
+    assert len(set(word_hashes(" ".join(f"{a}{b}" for a in range(300) for b in "xyz").encode()).tolist())) == 900
+
+
+def test_estimate_is_near_the_truth():
+    random.seed(3)
+    for share in (0.3, 0.8, 0.95):
+        both, each = [np.array(random.sample(range(1 << 62), int(2000 * s)), dtype=np.uint64) for s in (share, (1 - share) / 2)]
+        other = np.array(random.sample(range(1 << 62), len(each)), dtype=np.uint64)
+        a, b = np.unique(np.concatenate((both, each))), np.unique(np.concatenate((both, other)))
+        got, n = hm.estimate(hm.registers_of(a)[None], hm.registers_of(b)[None], np.array([len(a)]), np.array([len(b)]))
+        assert abs(got[0] - share) < 5 * (share * (1 - share) / n[0]) ** 0.5
+
+
+def test_unequal_registers_seldom_agree():
+    a, b = (hm.registers_of(np.arange(s, s + 10**9, 10**6 + 1, dtype=np.uint64)) for s in (1, 10**15))
+    assert (a == b).sum() <= 3
+
+
+def test_odd_documents(spark, odd_documents):
+    rows = sorted(hm.near_duplicates(odd_documents, k=2).collect(), key=str)
+    assert len(rows) == odd_documents.count()
+    by_id = {}
+    for row in rows:
+        by_id.setdefault(row.doc_id, []).append((row.n_shingles, row.component_id, row.kept))
+    assert by_id[2] == [(1, 2, True)] and by_id[3] == [(1, 2, False)] * 2
+    assert by_id[1] == [(0, 1, True)] * 2 and by_id[4] == [(0, 4, True)]
+    assert by_id[5] == [(2, 5, True)] and by_id[7] == [(2, 5, False)]
+    assert all(component is None and not kept for _, component, kept in by_id[None])
+    assert hm.near_duplicates(odd_documents.limit(0), k=2).count() == 0

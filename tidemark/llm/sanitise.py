@@ -273,11 +273,14 @@ def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     other character, every other column and every row stays as it is; null texts stay null.
     """
     found = find_personal_data(docs, id_column, text_column).where(F.size("spans") > 0)
-    found = found.select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_"), "spans").distinct()
-    text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
-    marked = docs.withColumn("key__", F.xxhash64(text)).join(
-        found, F.col(f"`{id_column}`").cast("long").eqNullSafe(F.col("id_")) & (F.col("key__") == F.col("key_")), "left"
-    )
+    found = found.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key"), "spans").distinct()
+    # The row travels as one column, so that no column of it can be taken for one of these.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_column).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text_column), F.lit("")).alias("text"),
+    ).withColumn("text_key", F.xxhash64("text"))
+    marked = rows.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key")), "left")
     ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"))))
     marked = marked.withColumn("ordered", ordered)
     reached = _running(F.col("ordered"), F.lit(0), lambda now, s: F.greatest(now, -s["minus_end"]), "int")
@@ -286,9 +289,9 @@ def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     parts = F.zip_with(
         "ordered",
         "reached",
-        lambda s, at: F.when(s["start"] >= at, F.concat(F.substring(text, at + 1, s["start"] - at), F.get(tags, s["kind"]))).otherwise(F.lit("")),
+        lambda s, at: F.when(s["start"] >= at, F.concat(F.substring("text", at + 1, s["start"] - at), F.get(tags, s["kind"]))).otherwise(F.lit("")),
     )
     last = F.array_max(F.transform("ordered", lambda s: -s["minus_end"]))
-    rest = F.substring(text, last + 1, F.length(text))
-    clean = F.when(F.col("spans").isNull(), F.col(f"`{text_column}`")).otherwise(F.concat(F.array_join(parts, ""), rest))
-    return marked.withColumn(text_column, clean).select([f"`{c}`" for c in docs.columns])
+    rest = F.substring("text", last + 1, F.length("text"))
+    clean = F.when(F.col("spans").isNotNull(), F.concat(F.array_join(parts, ""), rest)).otherwise(F.col("row").getField(text_column))
+    return marked.select(*[(clean if c == text_column else F.col("row").getField(c)).alias(c) for c in docs.columns])
