@@ -1,3 +1,5 @@
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -66,36 +68,23 @@ def test_quantile_bin_equals_qcut_of_ranks(spark):
         assert ours == theirs
 
 
-def payments(n: int, seed: int) -> pd.DataFrame:
-    random = np.random.default_rng(seed)
-    frame = pd.DataFrame({"customer": random.integers(0, 40, n), "days": random.integers(0, 300, n)})
-    frame["date"] = [(pd.Timestamp("2024-01-01") - pd.Timedelta(days=int(days))).date() for days in frame.days]
-    frame["amount"] = random.integers(1, 100, n) / 4
-    return frame[["customer", "date", "amount"]]
-
-
-@pytest.mark.parametrize("one_task_rows", [1_000_000, 5])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_quantile_scores_equal_pandas(spark, seed, one_task_rows):
-    frame = payments(200, seed)
-    df = spark.createDataFrame(frame, "customer long, date date, amount double")
-    ours = rfm.rfm_by_quantile(df, "customer", "date", "amount", "2024-01-02", one_task_rows=one_task_rows)
-    grouped = frame.groupby("customer")
-    expected = pd.DataFrame(
-        {
-            "recency_days": (pd.Timestamp("2024-01-02") - pd.to_datetime(grouped["date"].max())).dt.days,
-            "frequency": grouped["date"].count(),
-            "monetary": grouped["amount"].sum(),
-        }
-    ).reset_index()
-    expected["r_score"] = 6 - pd.qcut(expected.recency_days, 5, labels=False).add(1)
-    for score, measure in (("f_score", "frequency"), ("m_score", "monetary")):
-        expected[score] = pd.qcut(expected[measure].rank(method="first"), 5, labels=False) + 1
-    expected["rfm_total"] = expected.r_score + expected.f_score + expected.m_score
-    expected["rfm_segment"] = pd.cut(
-        expected.rfm_total, [0, 6, 9, 12, 15], labels=["Lost", "At Risk", "Loyal", "Champion"]
-    ).astype(str)
-    assert rows(ours.select(*expected.columns), "customer") == list(expected.itertuples(index=False, name=None))
+@pytest.mark.parametrize("one_task_rows", [None, 2])
+def test_quantile_scores_by_hand(spark, one_task_rows):
+    """Six customers; the edges of recency (10, 20, ... 60 days) lie at 20, 30, 40 and 50, a customer at an edge is below it."""
+    as_of, data = dt.date(2024, 6, 1), []
+    for customer, (days, times, amount) in enumerate([(10, 6, 1.0), (20, 5, 4.0), (30, 4, 9.0), (40, 3, 16.0), (50, 2, 25.0), (60, 1, 120.0)], 1):
+        data += [(customer, as_of - dt.timedelta(days=days), amount)] * times
+    df = spark.createDataFrame(data, "customer long, date date, amount double")
+    result = rfm.rfm_by_quantile(df, "customer", "date", "amount", as_of.isoformat(), one_task_rows=one_task_rows)
+    # Places 1 to 6 fall into fifths 1, 1, 2, 3, 4, 5, by frequency from customer 6 up, by total from customer 1 up.
+    assert rows(result, "customer") == [
+        (1, 10, 6, 6.0, 5, 5, 1, 11, "Loyal"),
+        (2, 20, 5, 20.0, 5, 4, 1, 10, "Loyal"),
+        (3, 30, 4, 36.0, 4, 3, 2, 9, "At Risk"),
+        (4, 40, 3, 48.0, 3, 2, 3, 8, "At Risk"),
+        (5, 50, 2, 50.0, 2, 1, 4, 7, "At Risk"),
+        (6, 60, 1, 120.0, 1, 1, 5, 7, "At Risk"),
+    ]
 
 
 @pytest.mark.parametrize("days", [[5, 5, 5, 5, 5, 9, 12], [3]])

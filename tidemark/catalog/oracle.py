@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 AS_OF = "DATE '2001-08-02'"
+# The stages of the sales funnel, top to bottom.
 STAGES = ("Lead Created", "Demo Scheduled", "Proposal Sent", "Contract Signed", "Closed Won")
 RULES = ("l_linestatus = 'F'", "l_returnflag IN ('A', 'R')", "l_quantity > 25", "l_discount >= 0.05")
 STAGE = "CASE " + " ".join(f"WHEN {' AND '.join(RULES[:n])} THEN {n + 1}" for n in range(4, 0, -1)) + " ELSE 1 END"
@@ -10,7 +11,11 @@ STAGE_NAME = "CASE {} " + " ".join(f"WHEN {n} THEN '{name}'" for n, name in enum
 
 
 def msum(column: str) -> str:
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,4))) AS DOUBLE)"
+    """A sum that no order of rows changes. The decimal is far wider than any value in the tables, so nothing is cut.
+
+    It becomes a double by way of its digits, which gives the nearest one.
+    """
+    return f"CAST(CAST(sum(CAST({column} AS DECIMAL(38,6))) AS VARCHAR) AS DOUBLE)"
 
 
 def mavg(column: str) -> str:
@@ -179,11 +184,22 @@ def retention(rows: str) -> str:
             'first(active_customers) OVER (PARTITION BY cohort_month ORDER BY period)', 1)} AS retention_pct FROM active)"""
 
 
-def matrix(periods: int) -> str:
-    columns = ", ".join(
-        f"max(retention_pct) FILTER (period = {period}) AS period_{period}" for period in range(periods)
+def long_form(rows: str, key: str, items: dict[str, str], **labels: str) -> str:
+    """SELECTs that give (label, key, item, value) for each named figure of each row."""
+    named = "".join(f"'{text}' AS {label}, " for label, text in labels.items())
+    return " UNION ALL ".join(
+        f"SELECT {named}CAST({key} AS VARCHAR) AS key, '{name}' AS item, CAST({column} AS DOUBLE) AS value FROM ({rows})"
+        for name, column in items.items()
     )
-    return f" SELECT cohort_month, {columns} FROM kept GROUP BY 1"
+
+
+def same(*names: str) -> dict[str, str]:
+    return {name: name for name in names}
+
+
+def cells(key: str = "cohort_month", **labels: str) -> str:
+    named = "".join(f"'{text}' AS {label}, " for label, text in labels.items())
+    return f"SELECT {named}CAST({key} AS VARCHAR) AS key, 'period_' || period AS item, retention_pct AS value FROM kept"
 
 
 def ntile_rfm(best_high: bool) -> str:
@@ -338,8 +354,8 @@ def _all() -> dict[str, str]:
         round(avg(order_months), 1) AS avg_months_active,
         {pct('count(*) FILTER (is_churned)', 'count(*)', 1)} AS churn_rate_pct FROM people GROUP BY ALL"""
     dated = "FROM purchases WHERE purchase_date IS NOT NULL"
-    sql["k5_retention_matrix"] = given("purchases", also=retention(dated)) + matrix(80)
-    sql["c5_transform_cohorts"] = given("extracted", also=retention(EXTRACTED_AS_PURCHASES)) + matrix(13)
+    sql["k5_retention_matrix"] = given("purchases", also=retention(dated)) + " " + cells()
+    sql["c5_transform_cohorts"] = given("extracted", also=retention(EXTRACTED_AS_PURCHASES)) + " " + cells()
     windows = ", ".join(
         f"count(DISTINCT customer_id) FILTER (since > {end - 30} AND since <= {end}) AS retained_{end}d"
         for end in (30, 60, 90)
@@ -414,7 +430,13 @@ def _all() -> dict[str, str]:
         l_suppkey AS sales_rep_id, l_returnflag AS segment FROM staged_lines WHERE l_linenumber = 1"""
     sql["s6_extract_customer_logins"] = given("login_extract") + " FROM login_extract"
     sql["s7_load_results"] = REVENUE_ROWS.format("%Y-%m")
-    sql["s8_export_csv"] = REVENUE_ROWS.format("%Y-%m-%d")
+    sql["s8_export_csv"] = given("monthly") + """ SELECT 'revenue' AS result, strftime(month, '%Y-%m-%d') AS day,
+        revenue AS value FROM monthly UNION ALL SELECT 'activity', strftime(ts, '%Y-%m-%d'),
+        CAST(count(DISTINCT user_id) AS DOUBLE) FROM events GROUP BY 2"""
+    sql["s9_codec"] = "SELECT unnest(['loaded', 'compacted']) AS state, 'snappy' AS codec"
+    sql["s2_load_keeps_layout"] = given("transactions") + """ SELECT status, count(*) AS n,
+        'ORC EXTERNAL 4 [`transaction_id`] snappy True status=completed,status=open,status=pending' AS layout
+        FROM transactions GROUP BY status"""
     sql["s9_partitioned_event_table"] = EVENT_ROWS
     sql["s10_partition_event_counts"] = given("raw_events") + """ SELECT customer_id, event_type, count(*) AS event_count
         FROM raw_events WHERE event_date = '2024-01-15' AND region = 'US' GROUP BY ALL"""
@@ -429,8 +451,13 @@ def _all() -> dict[str, str]:
     sql["s15_write_orc"] = given("transactions") + """ SELECT transaction_id, status, amount,
         CASE WHEN status = 'open' THEN 'hot' ELSE 'cold' END AS tier FROM transactions"""
     sql["s16_compact"] = given("transactions") + " SELECT transaction_id, customer_id, amount FROM transactions"
-    sql["s17_analyze"] = """SELECT 'min' AS info_name, CAST(min(user_id) AS VARCHAR) AS info_value FROM events
-        UNION ALL SELECT 'max', CAST(max(user_id) AS VARCHAR) FROM events UNION ALL SELECT 'num_nulls', '0'"""
+    sql["s17_analyze"] = given("raw_events") + """, loaded AS (SELECT * FROM raw_events WHERE event_date >= '2024-01-01')
+        SELECT 'min' AS info_name, CAST(min(customer_id) AS VARCHAR) AS info_value FROM loaded
+        UNION ALL SELECT 'max', CAST(max(customer_id) AS VARCHAR) FROM loaded
+        UNION ALL SELECT 'num_nulls', CAST(count(*) FILTER (customer_id IS NULL) AS VARCHAR) FROM loaded
+        UNION ALL SELECT 'table_rows', CAST(count(*) AS VARCHAR) FROM loaded
+        UNION ALL SELECT 'partition_rows', CAST(count(*) AS VARCHAR) FROM loaded
+            WHERE event_date = '2024-01-15' AND region = 'US'"""
 
     before = "lag(revenue) OVER (ORDER BY week_start)"
     change = f"(revenue - {before})"
@@ -440,17 +467,29 @@ def _all() -> dict[str, str]:
         {signed_round(f'{change} / nullif({before}, 0) * 100', 1)} AS revenue_wow_pct FROM weekly"""
     sql["r2_churn_risk_report"] = given("people", "logins", "support", "billing") + " " + RISK_REPORT
     sql["r3_segment_performance"] = given("people") + " " + SEGMENTS
+    tier_place = f"CASE {tier(days_from('last_login_date'))} " + " ".join(
+        f"WHEN '{name}' THEN {place}" for place, name in enumerate(("high_risk", "medium_risk", "low_risk", "active"), 1)
+    ) + " END"
+    churn_rows = f"SELECT customer_id, {days_from('last_login_date')} AS days_since_login, {tier_place} AS tier_place FROM login_extract"
+    rfm_rows = "SELECT * REPLACE (round(monetary, 2) AS monetary) FROM segmented"
+    rfm_items = same("recency_days", "frequency", "monetary", "r_score", "f_score", "m_score")
+    funnel_items = same("users", "prev_users", "conversion_pct", "pct_of_total")
     sql["p1_lifecycle_job"] = given(
         "extracted", "login_extract", also=f"{quantile_rfm('SELECT DISTINCT * FROM extracted')}, {retention(EXTRACTED_AS_PURCHASES)}"
-    ) + f""" SELECT 'churn_risk_scores' AS result, {tier(days_from('last_login_date'))} AS label, count(*) AS n
-        FROM login_extract GROUP BY ALL
-        UNION ALL SELECT 'rfm_scores', rfm_segment, count(*) FROM segmented GROUP BY ALL
-        UNION ALL SELECT 'funnel_conversion', unnest([{', '.join(f"'{name}'" for name in STAGES)}]), 1
-        UNION ALL SELECT DISTINCT 'cohort_retention', strftime(cohort_month, '%Y-%m'), 1 FROM kept"""
-    sql["p2_report_job"] = given("people", "logins", "support", "billing", also=WEEKLY) + f"""
-        SELECT 'executive_summary' AS report, count(*) AS n FROM weekly
-        UNION ALL SELECT 'churn_risk_report', count(*) FROM ({RISK_REPORT})
-        UNION ALL SELECT 'segment_performance', count(*) FROM ({SEGMENTS})"""
+    ) + " " + " UNION ALL ".join([
+        long_form(churn_rows, "customer_id", same("days_since_login", "tier_place"), result="churn_risk_scores"),
+        long_form(rfm_rows, "customer_id", rfm_items, result="rfm_scores"),
+        long_form(sql["f6_listed_funnel"], "stage", funnel_items, result="funnel_conversion"),
+        cells("strftime(cohort_month, '%Y-%m')", result="cohort_retention"),
+    ])
+    weekly_items = same("active_customers", "total_revenue", "total_orders", "avg_order_value", "revenue_wow_pct")
+    risk_items = same("mrr", "days_since_login", "open_support_tickets", "failed_payments_last_90d")
+    segment_items = same("total_customers", "total_mrr", "avg_mrr", "churn_rate_pct", "avg_ltv")
+    sql["p2_report_job"] = given("people", "logins", "support", "billing") + " " + " UNION ALL ".join([
+        long_form(sql["r1_executive_summary"], "week_start", weekly_items, report="executive_summary"),
+        long_form(RISK_REPORT, "customer_id", risk_items, report="churn_risk_report"),
+        long_form(SEGMENTS, "segment || '/' || plan_type", segment_items, report="segment_performance"),
+    ])
     return sql
 
 

@@ -17,6 +17,11 @@ WHITESPACE = "".join(character for character in map(chr, range(0x3001)) if chara
 NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots or backticks, as a reference."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def clean(df: DataFrame) -> DataFrame:
     """Plain column names, trimmed texts, and no row twice."""
     names = [name.strip().lower().replace(" ", "_") for name in df.columns]
@@ -25,7 +30,7 @@ def clean(df: DataFrame) -> DataFrame:
         raise ValueError(f"column names become equal: {clashes}")
     renamed = df.toDF(*names)
     texts = [field.name for field in renamed.schema if isinstance(field.dataType, T.StringType)]
-    return renamed.withColumns({name: F.btrim(F.col(name), F.lit(WHITESPACE)) for name in texts}).dropDuplicates()
+    return renamed.withColumns({name: F.btrim(F.col(quoted(name)), F.lit(WHITESPACE)) for name in texts}).dropDuplicates()
 
 
 def add_date_parts(df: DataFrame, date: str) -> DataFrame:
@@ -34,22 +39,23 @@ def add_date_parts(df: DataFrame, date: str) -> DataFrame:
     A text column is read as a timestamp first. A missing date has missing parts.
     """
     if isinstance(df.schema[date].dataType, T.StringType):
-        df = df.withColumn(date, F.to_timestamp(date))
+        df = df.withColumn(date, F.to_timestamp(quoted(date)))
+    value = F.col(quoted(date))
     return df.withColumns(
         {
-            f"{date}_year": F.year(date),
-            f"{date}_month": F.month(date),
-            f"{date}_quarter": F.quarter(date),
-            f"{date}_week": F.weekofyear(date),
-            f"{date}_day": F.dayofmonth(date),
-            f"{date}_weekday": F.date_format(date, "EEEE"),
+            f"{date}_year": F.year(value),
+            f"{date}_month": F.month(value),
+            f"{date}_quarter": F.quarter(value),
+            f"{date}_week": F.weekofyear(value),
+            f"{date}_day": F.dayofmonth(value),
+            f"{date}_weekday": F.date_format(value, "EEEE"),
         }
     )
 
 
 def number_or_zero(df: DataFrame, column: str) -> DataFrame:
     """The column as a double; 0 for anything that is not a number."""
-    value = F.col(column)
+    value = F.col(quoted(column))
     if isinstance(df.schema[column].dataType, T.StringType):
         trimmed = F.btrim(value, F.lit(WHITESPACE))
         value = F.when(trimmed.rlike(NUMBER), trimmed.try_cast("double"))

@@ -11,7 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.dates import day, month_start, months_apart
-from tidemark.functions.measures import money, percent
+from tidemark.functions.measures import money_sum, percent
+from tidemark.session import settle
 
 
 def _cohort_activity(df: DataFrame, customer: str, date: str) -> DataFrame:
@@ -37,21 +38,22 @@ def monthly_retention(df: DataFrame, customer: str, date: str) -> DataFrame:
     )
 
 
-def retention_matrix(df: DataFrame, customer: str, date: str, max_period: int | None = None) -> DataFrame:
+def retention_matrix(df: DataFrame, customer: str, date: str, most_periods: int = 1200) -> DataFrame:
     """Retention with one row per cohort month and one column per period; NULL where nobody was active.
 
-    Without ``max_period`` the columns cover the whole span of the data (one small aggregate); with
-    it, the result has these columns whatever the data, and a later period has none.
+    The columns cover the whole span of the data, which is read from the aggregated months. A span of more than
+    ``most_periods`` months (a century), as a wrong date makes it, raises: no period is ever left out.
     """
     dated = df.where(F.col(date).isNotNull() & F.col(customer).isNotNull())
-    if max_period is None:
-        span = dated.agg(months_apart(F.max(date), F.min(date)).alias("months")).first()
-        max_period = span["months"] or 0
+    activity = settle(_cohort_activity(dated, customer, date))
+    month = F.add_months("cohort_month", F.col("period"))
+    span = activity.agg(months_apart(F.max(month), F.min("cohort_month")).alias("last")).first()
+    last = span["last"] or 0
+    if last > most_periods:
+        raise ValueError(f"the dates span {last} months; is one of them wrong?")
     base = F.max(F.when(F.col("period") == 0, F.col("active_customers"))).over(Window.partitionBy("cohort_month"))
-    rates = _cohort_activity(dated, customer, date).withColumn(
-        "retention_pct", percent(F.col("active_customers"), base, 1)
-    )
-    periods = list(range(max_period + 1))
+    rates = activity.withColumn("retention_pct", percent(F.col("active_customers"), base, 1))
+    periods = list(range(last + 1))
     matrix = rates.groupBy("cohort_month").pivot("period", periods).agg(F.first("retention_pct"))
     return matrix.withColumnsRenamed({str(period): f"period_{period}" for period in periods}).orderBy("cohort_month")
 
@@ -107,7 +109,7 @@ def adoption_cohorts(
     )
     people = customers.groupBy(customer, signup).agg(F.count(F.lit(1)).alias("_times"))
     per_customer = stats.groupBy(customer).agg(
-        F.sum(money("lifetime_value")).alias("_value"),
+        money_sum("lifetime_value").alias("_value"),
         F.count("lifetime_value").alias("_values"),
         F.sum(F.col("tenure_days").cast("bigint")).alias("_days"),
         F.count("tenure_days").alias("_tenures"),
@@ -121,7 +123,7 @@ def adoption_cohorts(
     joined = people.join(adopted, customer, "left").join(per_customer, customer)
     # A customer may fall into a segment with more than one signup date, so count each once.
     placed = joined.groupBy(segment.alias("adoption_segment"), customer).agg(
-        F.sum(F.col("_value") * F.col("_times")).alias("_value"),
+        money_sum(F.col("_value") * F.col("_times")).alias("_value"),
         F.sum(F.col("_values") * F.col("_times")).alias("_values"),
         F.sum(F.col("_days") * F.col("_times")).alias("_days"),
         F.sum(F.col("_tenures") * F.col("_times")).alias("_tenures"),
@@ -132,7 +134,7 @@ def adoption_cohorts(
         placed.groupBy("adoption_segment")
         .agg(
             F.count(customer).alias("customers"),
-            F.round(F.try_divide(F.sum("_value").cast("double"), F.sum("_values")), 2).alias("avg_ltv"),
+            F.round(F.try_divide(money_sum("_value"), F.sum("_values")), 2).alias("avg_ltv"),
             F.round(F.try_divide(F.sum("_days"), F.sum("_tenures")), 0).alias("avg_tenure_days"),
             percent(churned, F.count(customer), 1).alias("churn_pct"),
         )

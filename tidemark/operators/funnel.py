@@ -47,13 +47,11 @@ def stage_drop_off(df: DataFrame, customer: str, stage: str, stage_order: str) -
     )
 
 
-def time_in_stage(
-    df: DataFrame, stage: str, entered: str, exited: str, exact: bool = True, accuracy: int = 10_000
-) -> DataFrame:
+def time_in_stage(df: DataFrame, stage: str, entered: str, exited: str) -> DataFrame:
     """Mean, extremes, median and 90th percentile of the days between entry and exit.
 
     Rows are first counted per stage and number of days, which is a small table at any scale, and all
-    figures are read from those counts. ``exact=False`` takes the two quantiles approximately.
+    figures are read from those counts.
     """
     closed = df.where(F.col(exited).isNotNull()).select(stage, F.datediff(exited, entered).alias("days"))
     counts = closed.groupBy(stage, "days").agg(F.count(F.lit(1)).alias("_rows"))
@@ -75,16 +73,6 @@ def time_in_stage(
         at(50).alias("median_days"),
         at(90).alias("p90_days"),
     )
-    if not exact:
-        near = closed.groupBy(stage).agg(
-            F.percentile_approx("days", [0.5, 0.9], accuracy).alias("_near")
-        )
-        result = (
-            result.drop("median_days", "p90_days")
-            .join(near, stage)
-            .withColumns({"median_days": F.col("_near")[0], "p90_days": F.col("_near")[1]})
-            .drop("_near")
-        )
     return result.orderBy(F.desc("avg_days"), stage)
 
 

@@ -13,11 +13,17 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.measures import plus
-from tidemark.operators.skew import COPY_CHUNK, Split, collapse_copies, expand_copies, match
+from tidemark.functions.measures import exact_part, plus, rest_part, total
+from tidemark.operators.skew import COPY_CHUNK, Split, collapse_copies, expand_copies, match, row_bytes
 from tidemark.session import settle
 
-ONE_TASK_ROWS = 1_000_000
+#: Bytes of rows that one task may sort; more are sorted in slices of that size.
+ONE_TASK_BYTES = 64_000_000
+
+
+def rows_in_one_task(df: DataFrame, given: int | None = None) -> int:
+    return given or max(1, ONE_TASK_BYTES // row_bytes(df))
+
 
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in these
 
@@ -38,12 +44,14 @@ def ordered_slices(df: DataFrame, order: Sequence[Column], slices: int) -> DataF
 
 
 def global_position(
-    df: DataFrame, order: Sequence[Column], rows: int, out: str, one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame, order: Sequence[Column], rows: int, out: str, one_task_rows: int | None = None
 ) -> DataFrame:
     """``df``, which has ``rows`` rows, with the 1-based place of each in the order.
 
-    Up to ``one_task_rows`` rows are ranked by a plain window; more go through slices of that size.
+    Up to ``one_task_rows`` rows (or else ``ONE_TASK_BYTES``) are ranked by a plain window; more go through slices
+    of that size.
     """
+    one_task_rows = rows_in_one_task(df, one_task_rows)
     if rows <= one_task_rows:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     slices = ordered_slices(df, order, ceil(rows / one_task_rows))
@@ -117,28 +125,35 @@ def ranked_in_slices(
 
 
 def running_sum_in_slices(
-    split: Split, keys: Sequence[str], order: Sequence[Column], step: Column, out: str
+    split: Split, keys: Sequence[str], order: Sequence[Column], amount: str, out: str
 ) -> DataFrame:
-    """Running sum of ``step`` within keys that have too many rows for one task."""
+    """Running sum of ``amount`` within keys that have too many rows for one task."""
     slices = _hot_slices(split, keys, order)
-    total = step * F.col("_copies")
+    # A product of decimals keeps all digits if the number of copies takes no more than these.
+    parts = {"exact": (exact_part(amount), "decimal(12,0)"), "rest": (rest_part(amount), "double")}
+    steps = {name: step * F.col("_copies").cast(kind) for name, (step, kind) in parts.items()}
     in_key = Window.partitionBy("_slice", *keys).orderBy("_place")
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice and hot key.
     carried = (
         slices.groupBy("_slice", *keys)
-        .agg(F.sum(total).alias("_total"))
-        .withColumn("_carried", F.sum("_total").over(earlier))
-        .drop("_total")
+        .agg(*[F.sum(step).alias(f"_total_{name}") for name, step in steps.items()])
+        .withColumns({f"_carried_{name}": F.sum(f"_total_{name}").over(earlier) for name in parts})
+        .drop(*[f"_total_{name}" for name in parts])
     )
-    before = F.sum(total).over(in_key.rowsBetween(Window.unboundedPreceding, -1))
+    own = in_key.rowsBetween(Window.unboundedPreceding, -1)
+    slices_before = slices.withColumns({f"_own_{name}": F.sum(step).over(own) for name, step in steps.items()})
+    before = {f"_before_{name}": plus(F.col(f"_carried_{name}"), F.col(f"_own_{name}")) for name in parts}
     summed = (
-        match(slices.withColumn("_before", before), F.broadcast(carried), ["_slice", *keys], "inner")
-        .withColumn("_before", plus(F.col("_carried"), F.col("_before")))
-        .select(*split.hot.columns, "_copies", "_before")
+        match(slices_before, F.broadcast(carried), ["_slice", *keys], "inner")
+        .withColumns(before)
+        .select(*split.hot.columns, "_copies", *before)
     )
     unfolded = _unfold(summed, slices)
-    return unfolded.withColumn(out, plus(F.col("_before"), step * F.col("_copy"))).drop("_before", "_copy")
+    reached = [
+        plus(F.col(f"_before_{name}"), step * F.col("_copy").cast(kind)) for name, (step, kind) in parts.items()
+    ]
+    return unfolded.withColumn(out, total(*reached)).drop(*before, "_copy")
 
 
 def _hot_slices(split: Split, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -22,7 +22,7 @@ from tidemark.functions.tiers import (
     quantile_bin,
     tile,
 )
-from tidemark.operators.ordering import ONE_TASK_ROWS, global_position
+from tidemark.operators.ordering import global_position
 from tidemark.session import settle
 
 TILES = 5
@@ -38,7 +38,7 @@ def rfm_by_ntile(
     lookback_days: int = 365,
     polarity: str = "as_written",
     ordered: bool = False,
-    one_task_rows: int = ONE_TASK_ROWS,
+    one_task_rows: int | None = None,
 ) -> DataFrame:
     """NTILE(5) scores and segments of the customers with a transaction in the look-back window.
 
@@ -87,7 +87,7 @@ def rfm_by_quantile(
     date: str,
     amount: str,
     snapshot: dt.date | str | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
+    one_task_rows: int | None = None,
 ) -> DataFrame:
     """Quintile scores (5 = best) and segments.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.measures import money
+from tidemark.functions.measures import money_sum
 
 
 def partition_event_counts(events: DataFrame, event_date: str, region: str) -> DataFrame:
@@ -26,10 +26,10 @@ def event_totals(events: DataFrame, first_date: str, last_date: str) -> DataFram
     per_customer = (
         events.where(F.col("event_date").between(first_date, last_date))
         .groupBy("event_type", "region", "customer_id")
-        .agg(F.count(F.lit(1)).alias("_events"), F.sum(money("event_value")).alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_events"), money_sum("event_value").alias("_value"))
     )
     return per_customer.groupBy("event_type", "region").agg(
         F.sum("_events").alias("event_count"),
         F.count("customer_id").alias("unique_customers"),
-        F.sum("_value").cast("double").alias("total_value"),
+        money_sum("_value").alias("total_value"),
     )

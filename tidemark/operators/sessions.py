@@ -42,13 +42,13 @@ def sessionize(
     )
     minutes = (epoch_seconds(sessions, "session_end") - epoch_seconds(sessions, "session_start")) / F.lit(60)
     timed = sessions.withColumn("session_duration_mins", F.round(minutes, 1))
-    untimed = df.where(F.col(time).isNull()).groupBy(customer).agg(F.count(F.lit(1)).alias("_untimed"))
-    no_time = F.lit(None).cast(df.schema[time].dataType)
+    # Their cell has no start; said this way, the events are not read again for them.
+    untimed = cells.where(F.col("_start").isNull()).select(customer, "_start", "_end", F.col("_events").alias("_untimed"))
     alone = expand_copies(untimed, "_untimed", "session_id").select(
         customer,
         "session_id",
-        no_time.alias("session_start"),
-        no_time.alias("session_end"),
+        F.col("_start").alias("session_start"),
+        F.col("_end").alias("session_end"),
         F.lit(1).cast("bigint").alias("events_in_session"),
         F.lit(None).cast("double").alias("session_duration_mins"),
     )

@@ -12,10 +12,11 @@ from functools import reduce
 from math import ceil
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 HOT_ROWS = 5_000_000
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64_000_000
+SALTS = 64
 COPY_CHUNK = 100_000
 SEARCH_ROWS = 5_000  # rows that a hot key has in the sample it is looked for in
 
@@ -67,12 +68,17 @@ def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> D
 
 
 def left_join_lookups(
-    rows: DataFrame, lookups: Sequence[DataFrame], key: str, hot_rows: int = HOT_ROWS
+    rows: DataFrame,
+    lookups: Sequence[DataFrame],
+    key: str,
+    hot_rows: int = HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """LEFT JOIN of ``rows`` with several tables that hold one row per key.
 
     Cold rows: one shuffle of each input on the key, shared by all the joins. A hot key (often NULL)
-    stays where it is, and the few lookup rows that it needs are broadcast to it.
+    stays where it is, and the few lookup rows that it needs are broadcast to it; should they be more than
+    ``broadcast_bytes``, hot rows are spread over salts instead, and the lookup rows repeated for each.
     """
     split = split_hot(rows, [key], hot_rows)
     joined = reduce(lambda left, right: left.join(right, key, "left"), lookups, split.cold)
@@ -81,11 +87,22 @@ def left_join_lookups(
     hot = split.hot
     for lookup in lookups:
         needed = lookup.join(F.broadcast(split.keys), key, "left_semi")
-        small = needed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-        hot = hot.join(F.broadcast(needed) if small else needed, key, "left")
+        most = broadcast_bytes // row_bytes(needed)
+        if needed.limit(most + 1).count() <= most:
+            hot = hot.join(F.broadcast(needed), key, "left")
+        else:
+            salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+            salted = hot.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(name) for name in hot.columns]), F.lit(SALTS)).cast("int"))
+            hot = salted.join(needed.withColumn("_salt", salts), [key, "_salt"], "left").drop("_salt")
     return joined.unionByName(hot)
 
 
+def row_bytes(df: DataFrame) -> int:
+    """About how many bytes a row takes: 8 for a number or date, 64 for anything longer, 16 for the row."""
+    short = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return 16 + sum(8 if isinstance(field.dataType, short) else 64 for field in df.schema)
+
+
 def collapse_copies(df: DataFrame, copies: str, limit: int) -> DataFrame:
     """One row per distinct row, and how many there were; copies meet before the shuffle.
 

@@ -7,16 +7,16 @@ from math import ceil
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.functions.measures import money
+from tidemark.functions.measures import exact_part, rest_part, total
 from tidemark.functions.tiers import tile
 from tidemark.operators.ordering import (
-    ONE_TASK_ROWS,
     global_position,
     ordered_slices,
     ranked_in_slices,
+    rows_in_one_task,
     running_sum_in_slices,
 )
-from tidemark.operators.skew import HOT_ROWS, Split, match, split_hot
+from tidemark.operators.skew import BROADCAST_BYTES, HOT_ROWS, Split, match, row_bytes, split_hot
 from tidemark.session import settle
 
 
@@ -34,10 +34,9 @@ def running_total(
     columns = [F.col(order), *map(F.col, tie_breakers)]
     split = split_hot(df, [key], hot_rows)
     up_to_here = Window.partitionBy(key).orderBy(*columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    result = split.cold.withColumn(out, F.sum(money(amount)).over(up_to_here).cast("double"))
+    result = split.cold.withColumn(out, total(F.sum(exact_part(amount)).over(up_to_here), F.sum(rest_part(amount)).over(up_to_here)))
     if split.hot is not None:
-        sliced = running_sum_in_slices(split, [key], columns, money(amount), out)
-        result = result.unionByName(sliced.withColumn(out, F.col(out).cast("double")))
+        result = result.unionByName(running_sum_in_slices(split, [key], columns, amount, out))
     return result.orderBy(key, *columns) if ordered else result
 
 
@@ -49,13 +48,11 @@ def rankings(
     names = ("rank", "dense_rank", "row_num")
     split = split_hot(df, [key], hot_rows)
     by_value = Window.partitionBy(key).orderBy(order[0])
-    result = split.cold.withColumns(
-        {
-            "rank": F.rank().over(by_value).cast("bigint"),
-            "dense_rank": F.dense_rank().over(by_value).cast("bigint"),
-            "row_num": F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint"),
-        }
-    )
+    # Numbered first: rows in the longer order are in the shorter one too, so one sort serves all three.
+    numbered = split.cold.withColumn("row_num", F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint"))
+    result = numbered.withColumns(
+        {"rank": F.rank().over(by_value).cast("bigint"), "dense_rank": F.dense_rank().over(by_value).cast("bigint")}
+    ).select(*df.columns, *names)
     if split.hot is not None:
         result = result.unionByName(ranked_in_slices(split, [key], value, order, *names))
     return result
@@ -115,16 +112,19 @@ def spend_quartiles(
     spend: str,
     segment: str,
     tiles: int = 4,
-    one_task_rows: int = ONE_TASK_ROWS,
+    one_task_rows: int | None = None,
 ) -> DataFrame:
     """Spend tier over all customers (1 = highest) and the median spend of the customer's segment."""
     base = settle(df.select(customer, spend, segment))
+    one_task_rows = rows_in_one_task(base, one_task_rows)
     highest_first = [F.col(spend).desc_nulls_last(), F.col(customer)]
     rows = base.count()
     placed = global_position(base, highest_first, rows, "_position", one_task_rows)
     tiered = placed.withColumn("spend_quartile", tile(F.col("_position"), rows, tiles))
     split = split_hot(base, [segment], one_task_rows)
-    medians = split.cold.groupBy(segment).agg(F.median(spend).alias("median_spend_by_segment"))
+    medians = settle(split.cold.groupBy(segment).agg(F.median(spend).alias("median_spend_by_segment")))
+    if medians.count() * row_bytes(medians) <= BROADCAST_BYTES:  # one row per segment; few segments have many customers
+        medians = F.broadcast(medians)
     if split.hot is None:
         joined = match(tiered, medians, [segment], "left")
     else:

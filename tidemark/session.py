@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 from contextlib import contextmanager
 
@@ -11,36 +14,52 @@ from pyspark.sql import DataFrame, SparkSession
 _local_folders: dict[str, str] = {}
 
 
+# Settings of the engine, which a session can still take once it runs, and of the process, which it cannot.
+SQL_DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+LOCAL_DEFAULTS = {
+    "spark.ui.enabled": "false",
+    # Without this, every column expression records its call site, which takes most of planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
+}
+
+
 def get_session(app: str = "tidemark", master: str | None = None, **settings: str) -> SparkSession:
-    """A session for jobs, tests and the bench; a cluster's own settings win over these."""
+    """A session for jobs, tests and the bench. ``settings`` hold; a default holds only where nothing else is set.
+
+    What the cluster or the command line sets therefore wins over the defaults. Settings of the process are touched
+    only if ``master`` is given, that is where there is no cluster to set them.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    defaults = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.ui.enabled": "false",
-        # Without this, every column expression records its call site, which takes most of planning.
-        "spark.python.sql.dataFrameDebugging.enabled": "false",
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-        "spark.checkpoint.compress": "true",
-    }
-    for name, value in {**defaults, **settings}.items():
+    for name, value in {**(LOCAL_DEFAULTS if master else {}), **settings}.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for name, value in SQL_DEFAULTS.items():
+        if name not in settings and not given.contains(name):
+            spark.conf.set(name, value)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``; in local mode alone, else, a temporary one that goes with the process."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_folders[context.applicationId] = folder
     return _local_folders[context.applicationId]
 
 
