@@ -12,13 +12,15 @@ import pandas as pd
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), ".."))
 
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from tidemark.catalog.queries import drop_databases  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
+OTHERS = "documents embeddings pages benchmark labels conversations".split()
 
 
 def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
-    for table in TABLES:
+    for table in [*TABLES, *[name for name in OTHERS if os.path.exists(f"{sf_dir}/{name}.parquet")]]:
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     return connection
 
@@ -53,6 +55,7 @@ def differences(spark_frame: pd.DataFrame, sql_frame: pd.DataFrame) -> str | Non
 
 def check(spark, connection, name: str, sf_dir: str) -> str | None:
     ours = rows_as_pandas(queries()[name](spark, sf_dir))
+    drop_databases(spark)
     theirs = connection.sql(oracle_sql()[name]).to_arrow_table().to_pandas(
         integer_object_nulls=True, date_as_object=True, timestamp_as_object=True
     )

@@ -1,6 +1,7 @@
 """Relations that must hold between results, whatever the data."""
 
 import pytest
+from conftest import day
 
 from pyspark.sql import functions as F
 
@@ -24,10 +25,8 @@ def test_every_cohort_starts_at_100_percent_and_the_matrix_has_the_same_figures(
     long = {(row.cohort_month, row.period): row.retention_pct for row in QUERIES["k1_monthly_retention"](spark, SF_DIR).collect()}
     assert {pct for (_, period), pct in long.items() if period == 0} == {100.0}
     wide = {
-        (row["cohort_month"], int(name.removeprefix("period_"))): row[name]
+        (day(row["key"]), int(row["item"].removeprefix("period_"))): row["value"]
         for row in QUERIES["k5_retention_matrix"](spark, SF_DIR).collect()
-        for name in row.asDict()
-        if name != "cohort_month" and row[name] is not None
     }
     assert wide == long
 

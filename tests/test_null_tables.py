@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from check_oracle import TABLES, check, oracle_connection
 
-from __spark_entry__ import oracle_sql
+from tidemark.catalog.oracle import ORACLE_SQL
 
 SOURCE = "/root/testdata/sf0.001"
 # Row identity of each table, and the columns that lose one in so many of their values.
@@ -36,7 +36,7 @@ def with_nulls(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql_with_nulls(spark, with_nulls, name):
     connection = oracle_connection(with_nulls)
     connection.execute("SET default_null_order = 'NULLS_FIRST_ON_ASC_LAST_ON_DESC'")

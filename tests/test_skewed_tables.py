@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from check_oracle import TABLES, check, oracle_connection
 
-from __spark_entry__ import oracle_sql
+from tidemark.catalog.oracle import ORACLE_SQL
 
 SOURCE = "/root/testdata/sf0.001"
 HOT = {"orders": ("o_custkey", "o_orderkey"), "events": ("user_id", "event_id"), "lineitem": ("l_orderkey", "l_partkey + l_linenumber")}
@@ -24,6 +24,6 @@ def skewed(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql_on_skewed_tables(spark, skewed, name):
     assert check(spark, oracle_connection(skewed), name, skewed) is None

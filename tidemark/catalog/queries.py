@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.catalog import inputs
 from tidemark.catalog.inputs import AS_OF, CUTOVER
 from tidemark.functions.dates import month_start
+from tidemark.functions.tiers import CHURN_TIERS
 from tidemark.operators import churn, cleaning, cohorts, funnel, rfm, rollups, sessions, streaks, windows
 from tidemark.plans import lifecycle_job, reports
 from tidemark.session import scratch_path, settle
@@ -28,17 +29,38 @@ def query(function: Query) -> Query:
     return function
 
 
+def _long(df: DataFrame, key: str, items: dict[str, str], **labels: str) -> DataFrame:
+    """One row (label, key, item, value) for each of the named figures in each row; figures that are NULL stay."""
+    figures = F.explode(F.array(*[F.struct(F.lit(name).alias("item"), F.col(column).cast("double").alias("value")) for name, column in items.items()]))
+    named = [F.lit(text).alias(label) for label, text in labels.items()]
+    return df.select(*named, F.col(key).cast("string").alias("key"), figures.alias("f")).select(*labels, "key", "f.item", "f.value")
+
+
+def _periods(matrix: DataFrame) -> dict[str, str]:
+    return {column: column for column in matrix.columns if column.startswith("period_")}
+
+
 def _fresh(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_databases: list[str] = []
+
+
 def _database(spark: SparkSession) -> str:
-    """A new database whose tables live in the shared folder."""
+    """A new database whose tables live in the shared folder, until ``drop_databases``."""
     name = f"tidemark_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    _databases.append(name)
     return name
 
 
+def drop_databases(spark: SparkSession) -> None:
+    """Drops what queries have created; their results cannot be read afterwards."""
+    while _databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {_databases.pop()} CASCADE")
+
+
 # Windows
 
 
@@ -138,12 +160,6 @@ def f3_time_in_stage(spark, d):
     return funnel.time_in_stage(rows, "stage_name", "stage_enter_date", "stage_exit_date")
 
 
-@query
-def f3_time_in_stage_approximate(spark, d):
-    rows = inputs.stage_transitions(spark, d)
-    return funnel.time_in_stage(rows, "stage_name", "stage_enter_date", "stage_exit_date", exact=False)
-
-
 @query
 def f4_conversion_by_segment(spark, d):
     return funnel.conversion_by_segment(inputs.customer_funnel_stages(spark, d), "segment", "customer_id", "stage")
@@ -204,7 +220,9 @@ def k4_billing_cohorts(spark, d):
 
 @query
 def k5_retention_matrix(spark, d):
-    return cohorts.retention_matrix(inputs.purchases(spark, d), "customer_id", "purchase_date")
+    """The matrix, one row per cell in use, as its number of columns depends on the data."""
+    matrix = cohorts.retention_matrix(inputs.purchases(spark, d), "customer_id", "purchase_date")
+    return _long(matrix, "cohort_month", _periods(matrix)).where("value IS NOT NULL")
 
 
 @query
@@ -238,7 +256,7 @@ def h2_rfm_by_ntile_best_high_sliced(spark, d):
 @query
 def h3_churn_features(spark, d):
     return churn.churn_features(
-        settle(inputs.customers(spark, d)),
+        settle(inputs.customers(spark, d).select("customer_id", "plan_type", "signup_date", "churned_date")),
         inputs.login_summary(spark, d),
         inputs.transaction_summary(spark, d),
         inputs.support_summary(spark, d),
@@ -347,7 +365,8 @@ def c5_transform_funnel(spark, d):
 
 @query
 def c5_transform_cohorts(spark, d):
-    return lifecycle_job.transform_cohorts(_clean_transactions(spark, d), max_period=12)
+    matrix = lifecycle_job.transform_cohorts(_clean_transactions(spark, d))
+    return _long(matrix, "cohort_month", _periods(matrix)).where("value IS NOT NULL")
 
 
 # Sources, sinks and layout
@@ -375,6 +394,29 @@ def s2_load_table(spark, d):
     return spark.table(table)
 
 
+@query
+def s2_load_keeps_layout(spark, d):
+    """An ORC table in partitions and buckets, with a property, in a place of its own, after a truncate and an append."""
+    table = f"{_database(spark)}.purchases"
+    spark.sql(
+        f"""CREATE TABLE {table} (transaction_id BIGINT, amount DOUBLE, status STRING) USING ORC
+        OPTIONS ('compression' 'snappy') PARTITIONED BY (status) CLUSTERED BY (transaction_id) INTO 4 BUCKETS
+        LOCATION '{_fresh(spark, "purchases")}' TBLPROPERTIES ('team' = 'finance')"""
+    )
+    rows = inputs.transactions(spark, d).select("status", "transaction_id", "amount")
+    warehouse.load_table(rows, table, "WRITE_EMPTY")
+    warehouse.load_table(rows.where("status <> 'open'"), table, "WRITE_TRUNCATE")
+    warehouse.load_table(rows.where("status = 'open'"), table)
+    layout.compact_table(spark, table)
+    details = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    kept = [details[name] for name in ("Provider", "Type", "Num Buckets", "Bucket Columns")]
+    codecs = [row["codec"] for row in layout.file_codecs(spark, table).collect()]
+    owned = "team=finance" in details["Table Properties"]
+    partitions = ",".join(sorted(row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()))
+    counted = spark.table(table).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return counted.withColumn("layout", F.lit(" ".join([*kept, *codecs, str(owned), partitions])))
+
+
 @query
 def s3_query_to_table(spark, d):
     database = _database(spark)
@@ -405,7 +447,7 @@ def s6_extract_customer_logins(spark, d):
 def s7_load_results(spark, d):
     table = f"{_database(spark)}.revenue"
     revenue = inputs.monthly_revenue(spark, d)
-    warehouse.load_results(revenue, table, month_columns=["month"])
+    warehouse.load_results(revenue, table)
     warehouse.load_results(revenue.where("revenue < 0"), table)  # empty: the table stays as it is
     return spark.table(table)
 
@@ -417,7 +459,12 @@ def s8_export_csv(spark, d):
         "activity": inputs.daily_metrics(spark, d),
     }
     paths = export.export_csv(results, _fresh(spark, "csv"))
-    return spark.read.option("header", True).schema("month string, revenue double").csv(paths[0])
+    schemas = ("day string, value double", "day string, value long")
+    read = [spark.read.option("header", True).schema(schema).csv(path) for path, schema in zip(paths, schemas)]
+    return reduce(
+        DataFrame.unionByName,
+        [df.select(F.lit(name).alias("result"), "day", F.col("value").cast("double")) for name, df in zip(results, read)],
+    )
 
 
 def _event_table(spark, d):
@@ -432,6 +479,17 @@ def s9_partitioned_event_table(spark, d):
     return spark.table(_event_table(spark, d))
 
 
+@query
+def s9_codec(spark, d):
+    """The codecs of the event table's files, after the load and after a compaction."""
+    table = _event_table(spark, d)
+    loaded = layout.file_codecs(spark, table).select("codec").collect()
+    layout.compact_table(spark, table)
+    compacted = layout.file_codecs(spark, table).select("codec").collect()
+    found = [("loaded", row["codec"]) for row in loaded] + [("compacted", row["codec"]) for row in compacted]
+    return spark.createDataFrame(found, "state string, codec string")
+
+
 @query
 def s10_partition_event_counts(spark, d):
     return rollups.partition_event_counts(spark.table(_event_table(spark, d)), "2024-01-15", "US")
@@ -477,7 +535,7 @@ def s13_bucketed_spend_hot(spark, d):
 
 @query
 def s14_event_totals(spark, d):
-    return rollups.event_totals(inputs.dated_customer_events(spark, d), "2024-01-01", "2024-01-31")
+    return rollups.event_totals(spark.table(_event_table(spark, d)), "2024-01-01", "2024-01-31")
 
 
 @query
@@ -505,8 +563,18 @@ def s17_analyze(spark, d):
     layout.analyze_table(spark, table)
     layout.analyze_table(spark, table, {"event_date": "2024-01-15", "region": "US"})
     layout.analyze_table(spark, table, columns=["customer_id", "event_type"])
-    described = spark.sql(f"DESCRIBE EXTENDED {table} customer_id")
-    return described.where("info_name IN ('min', 'max', 'num_nulls')")
+    column = spark.sql(f"DESCRIBE EXTENDED {table} customer_id").where("info_name IN ('min', 'max', 'num_nulls')")
+    rows = F.regexp_extract("data_type", r"(\d+) rows", 1)
+
+    def stored(of: str, name: str) -> DataFrame:
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {of}")
+        found = described.where(rows != "").select(rows.alias("info_value")).distinct()
+        return found.select(F.lit(name).alias("info_name"), "info_value")
+
+    partition = stored("PARTITION (event_date = '2024-01-15', region = 'US')", "partition_rows")
+    # The description of a partition repeats the table's statistics beneath its own.
+    partition = partition.orderBy(F.col("info_value").cast("bigint")).limit(1)
+    return column.unionByName(stored("", "table_rows")).unionByName(partition)
 
 
 # Reports and jobs
@@ -520,7 +588,7 @@ def r1_executive_summary(spark, d):
 def _report_tables(spark, d):
     return {
         "orders": inputs.weekly_orders(spark, d),
-        "customers": settle(inputs.customers(spark, d)),
+        "customers": settle(inputs.customers(spark, d).where("is_active")),
         "login_summary": inputs.login_summary(spark, d),
         "support_summary": inputs.support_summary(spark, d),
         "billing_summary": inputs.billing_summary(spark, d),
@@ -542,7 +610,7 @@ def r3_segment_performance(spark, d):
 
 @query
 def p1_lifecycle_job(spark, d):
-    """Runs the whole job and counts what its four tables hold."""
+    """Runs the whole job and returns the figures of its four tables."""
     dataset = _database(spark)
     lifecycle_job.run_job(
         inputs.transactions_with_region(spark, d),
@@ -551,27 +619,36 @@ def p1_lifecycle_job(spark, d):
         dataset,
         AS_OF,
     )
-    labels = {
-        "churn_risk_scores": "churn_risk_tier",
-        "rfm_scores": "rfm_segment",
-        "funnel_conversion": "stage",
-        "cohort_retention": "cohort_month",
-    }
+    tier_place = F.array_position(F.array(*map(F.lit, CHURN_TIERS)), F.col("churn_risk_tier"))
+    churn_scores = spark.table(f"{dataset}.churn_risk_scores").withColumn("tier_place", tier_place)
+    rfm_scores = spark.table(f"{dataset}.rfm_scores").withColumn("monetary", F.round("monetary", 2))
+    conversion, matrix = (spark.table(f"{dataset}.{name}") for name in ("funnel_conversion", "cohort_retention"))
+
+    def same(*names: str) -> dict[str, str]:
+        return {name: name for name in names}
+
     held = [
-        spark.table(f"{dataset}.{table}")
-        .groupBy(F.lit(table).alias("result"), F.col(label).alias("label"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        for table, label in labels.items()
+        _long(churn_scores, "customer_id", same("days_since_login", "tier_place"), result="churn_risk_scores"),
+        _long(rfm_scores, "customer_id", same("recency_days", "frequency", "monetary", "r_score", "f_score", "m_score"), result="rfm_scores"),
+        _long(conversion, "stage", same("users", "prev_users", "conversion_pct", "pct_of_total"), result="funnel_conversion"),
+        _long(matrix, "cohort_month", _periods(matrix), result="cohort_retention").where("value IS NOT NULL"),
     ]
     return reduce(DataFrame.unionByName, held)
 
 
 @query
 def p2_report_job(spark, d):
-    """Writes the three reports as CSV and counts the rows of each."""
+    """Writes the three reports as CSV and returns the figures in the files."""
     paths = reports.run_reports(_report_tables(spark, d), _fresh(spark, "reports"), "all", AS_OF)
-    counts = [
-        spark.read.option("header", True).csv(path).select(F.lit(path.rsplit("/", 1)[1]).alias("report"))
-        for path in paths
+    weekly, risk, segments = (spark.read.option("header", True).csv(path) for path in paths)
+
+    def same(*names: str) -> dict[str, str]:
+        return {name: name for name in names}
+
+    segments = segments.withColumn("group", F.concat_ws("/", "segment", "plan_type"))
+    held = [
+        _long(weekly, "week_start", same("active_customers", "total_revenue", "total_orders", "avg_order_value", "revenue_wow_pct"), report="executive_summary"),
+        _long(risk, "customer_id", same("mrr", "days_since_login", "open_support_tickets", "failed_payments_last_90d"), report="churn_risk_report"),
+        _long(segments, "group", same("total_customers", "total_mrr", "avg_mrr", "churn_rate_pct", "avg_ltv"), report="segment_performance"),
     ]
-    return reduce(DataFrame.unionByName, counts).groupBy("report").agg(F.count(F.lit(1)).alias("n"))
+    return reduce(DataFrame.unionByName, held)

@@ -17,7 +17,7 @@ from tidemark.operators.funnel import listed_funnel
 from tidemark.operators.rfm import rfm_by_quantile
 from tidemark.session import get_session
 from tidemark.sources.extracts import extract_customer_logins, extract_funnel_events, extract_transactions
-from tidemark.sources.warehouse import load_results
+from tidemark.sources.warehouse import commit_table, stage_results
 
 # The stages of the sales funnel, top to bottom.
 FUNNEL_STAGES = ("Lead Created", "Demo Scheduled", "Proposal Sent", "Contract Signed", "Closed Won")
@@ -32,8 +32,8 @@ def transform_funnel(funnel_events: DataFrame) -> DataFrame:
     return listed_funnel(clean(funnel_events), "stage_name", "customer_id", FUNNEL_STAGES)
 
 
-def transform_cohorts(transactions: DataFrame, max_period: int | None = None) -> DataFrame:
-    return retention_matrix(transactions, "customer_id", "transaction_date", max_period)
+def transform_cohorts(transactions: DataFrame) -> DataFrame:
+    return retention_matrix(transactions, "customer_id", "transaction_date")
 
 
 def run_job(
@@ -46,25 +46,28 @@ def run_job(
 ) -> dict[str, bool]:
     """Fill the four result tables in ``dataset``; False marks a table whose result was empty.
 
-    The cleaned transactions feed two results and are cached for them; lost blocks are recomputed.
+    All four results are computed beside the tables before the first of them is replaced, so a result that fails leaves
+    every table as it was. The cleaned transactions feed two results and are cached for them; lost blocks
+    are recomputed.
     """
+    spark = transactions.sparkSession
     cleaned = transform_transactions(extract_transactions(transactions, as_of)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {
-            "churn_risk_scores": load_results(
-                transform_churn_risk(extract_customer_logins(logins, as_of, login_lookback_days), as_of),
-                f"{dataset}.churn_risk_scores",
-            ),
-            "rfm_scores": load_results(transform_rfm(cleaned, as_of), f"{dataset}.rfm_scores"),
-            "funnel_conversion": load_results(
-                transform_funnel(extract_funnel_events(funnel_stages)), f"{dataset}.funnel_conversion"
-            ),
-            "cohort_retention": load_results(
-                transform_cohorts(cleaned), f"{dataset}.cohort_retention", month_columns=["cohort_month"]
+        results = {
+            "churn_risk_scores": transform_churn_risk(
+                extract_customer_logins(logins, as_of, login_lookback_days), as_of
             ),
+            "rfm_scores": transform_rfm(cleaned, as_of),
+            "funnel_conversion": transform_funnel(extract_funnel_events(funnel_stages)),
+            "cohort_retention": transform_cohorts(cleaned),
         }
+        staged = {name: stage_results(result, f"{dataset}.{name}") for name, result in results.items()}
     finally:
         cleaned.unpersist()
+    for name, table in staged.items():
+        if table is not None:
+            commit_table(spark, table, f"{dataset}.{name}")
+    return {name: table is not None for name, table in staged.items()}
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:

@@ -6,16 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.measures import money
+from tidemark.functions.measures import money_sum
 from tidemark.operators.skew import HOT_ROWS, hot_keys
 from tidemark.session import settings
-from tidemark.sources.warehouse import stage_table, swap_table
+from tidemark.sources.warehouse import commit_table, stage_table
 
 EVENT_COLUMNS = ("customer_id", "event_type", "event_value", "session_id", "platform", "event_date", "region")
 EVENT_PARTITIONS = ("event_date", "region")
 # Buckets of a customer table, partitions of one load, bytes of a merged file, codecs.
 BUCKETS = 256
-MAX_PARTITIONS = 10_000
+BUCKET_BYTES = 2_000_000_000
 TARGET_BYTES = 256_000_000
 CODECS = {"hot": "snappy", "cold": "zlib"}
 
@@ -30,19 +30,18 @@ def create_event_table(spark: SparkSession, table: str, location: str | None = N
             event_date STRING, region STRING
         ) USING ORC
         PARTITIONED BY (event_date, region)
+        OPTIONS ('compression' 'snappy')
         {place}
-        TBLPROPERTIES ('orc.compress' = 'SNAPPY')
         """
     )
 
 
-def load_event_partitions(
-    raw: DataFrame, table: str, since: str, max_partitions: int = MAX_PARTITIONS
-) -> None:
+def load_event_partitions(raw: DataFrame, table: str, since: str, max_partitions: int | None = None) -> None:
     """Overwrite the partitions that ``raw`` has rows for, and leave all others as they are.
 
     Rows are brought together by partition before the write so that files are few; a partition with
-    too many rows for one task is spread over several.
+    too many rows for one task is spread over several. ``max_partitions`` refuses a load that would reach more;
+    only then are partitions counted before, with a scan of the two columns.
     """
     spark = raw.sparkSession
     rows = (
@@ -50,40 +49,59 @@ def load_event_partitions(
         .withColumn("event_date", F.date_format("created_at", "yyyy-MM-dd"))
         .select(*EVENT_COLUMNS)
     )
-    found = rows.select(*EVENT_PARTITIONS).distinct().limit(max_partitions + 1).count()
-    if found > max_partitions:
-        raise ValueError(f"the load has more than {max_partitions} partitions")
+    if max_partitions is not None:
+        found = rows.select(*EVENT_PARTITIONS).distinct().limit(max_partitions + 1).count()
+        if found > max_partitions:
+            raise ValueError(f"the load has more than {max_partitions} partitions")
     with settings(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
         rows.hint("rebalance", *EVENT_PARTITIONS).write.insertInto(table, overwrite=True)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int = BUCKETS, path: str | None = None) -> None:
+def file_codecs(spark: SparkSession, table: str) -> DataFrame:
+    """The codec in the name of each file of a table, with the number of files that have it."""
+    path = F.input_file_name()
+    files = spark.table(table).select(path.alias("path")).distinct()
+    codec = F.regexp_extract("path", r"\.([a-z0-9]+)\.[a-z]+$", 1)
+    return files.groupBy(codec.alias("codec")).agg(F.count(F.lit(1)).alias("files"))
+
+
+def write_bucketed(
+    df: DataFrame, table: str, key: str, buckets: int = BUCKETS, path: str | None = None, codec: str = "snappy"
+) -> None:
     """Write a table hashed into buckets on its join key, sorted within each bucket.
 
     Rows come together by bucket first, so there are not as many files as tasks times buckets; a
     bucket that is too large for one task is written by several.
     """
     placed = df.hint("rebalance", buckets, key)
-    writer = placed.write.mode("overwrite").format("orc").bucketBy(buckets, key).sortBy(key)
+    writer = placed.write.mode("overwrite").format("orc").option("compression", codec).bucketBy(buckets, key).sortBy(key)
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
-def bucketed_spend(spark: SparkSession, customers: str, transactions: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def largest_bucket(spark: SparkSession, table: str) -> int:
+    """Bytes of the largest bucket of a table; its files are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(table_location(spark, table))
+    bucket = F.regexp_extract("path", r"_(\d+)\.c\d+", 1)
+    return files.groupBy(bucket).agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def bucketed_spend(
+    spark: SparkSession, customers: str, transactions: str, hot_rows: int = HOT_ROWS, bucket_bytes: int = BUCKET_BYTES
+) -> DataFrame:
     """Spend per customer and segment from two tables with the same buckets, without a shuffle.
 
-    A bucket is read by one task. Where a customer has too many rows for that, the transactions are
-    read file by file instead and added up per customer first, so that only those sums are shuffled.
+    A bucket is read by one task. Where a bucket has too many bytes for that, or a customer too many rows, the
+    transactions are read file by file instead and added up per customer first, so that only those sums are shuffled.
     """
     people, payments = spark.table(customers), spark.table(transactions)
     files = spark.read.schema(payments.schema).orc(table_location(spark, transactions))
-    hot, _ = hot_keys(files, ["customer_id"], hot_rows)
-    if hot is not None:
+    if largest_bucket(spark, transactions) > bucket_bytes or hot_keys(files, ["customer_id"], hot_rows)[0] is not None:
         payments = files
-    spend = payments.groupBy("customer_id").agg(F.sum(money("amount")).alias("_spend"))
+    spend = payments.groupBy("customer_id").agg(money_sum("amount").alias("_spend"))
     return (
         people.join(spend, "customer_id")
         .groupBy("customer_id", "segment")
-        .agg(F.sum("_spend").cast("double").alias("total_spend"))
+        .agg(money_sum("_spend").alias("total_spend"))
     )
 
 
@@ -97,13 +115,6 @@ def write_orc(df: DataFrame, path: str, tier: str = "hot", mode: str = "overwrit
     df.write.mode(mode).option("compression", CODECS[tier]).orc(path)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(bytes, number of files) under a path; the files are listed, not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    found = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.count("length").alias("files")).first()
-    return found["bytes"], found["files"]
-
-
 def compact_files(
     spark: SparkSession,
     source: str,
@@ -111,26 +122,45 @@ def compact_files(
     fmt: str = "orc",
     partition_by: Sequence[str] = (),
     target_bytes: int = TARGET_BYTES,
+    codec: str = "snappy",
 ) -> None:
-    """Rewrite small files as files of about ``target_bytes`` in a new place, and check the row count.
+    """Rewrite small files as files of about ``target_bytes`` in a new place, and check the rows.
 
     Without partitions nothing is shuffled: each task reads small files up to the target size and
     writes one. With partitions, rows are brought together by partition, and a large partition is
-    written by several tasks.
+    written by several tasks. Partition values stay the texts that they are in the folder names.
     """
     with _merged_reads(spark, target_bytes):
-        merged = _together(spark.read.format(fmt).load(source), partition_by)
-        merged.write.format(fmt).partitionBy(*partition_by).mode("errorifexists").save(target)
-    _same_rows(spark.read.format(fmt).load(source), spark.read.format(fmt).load(target))
+        before = spark.read.format(fmt).load(source)
+        writer = _together(before, partition_by).write.format(fmt).option("compression", codec)
+        writer.partitionBy(*partition_by).mode("errorifexists").save(target)
+        _same_rows(before, spark.read.format(fmt).load(target))
 
 
 def compact_table(spark: SparkSession, table: str, fmt: str = "orc", target_bytes: int = TARGET_BYTES) -> None:
-    """Rewrite a table with fewer, larger files; the old files stay until the new ones are checked."""
-    partition_by = [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
+    """Rewrite a table in place with fewer, larger files.
+
+    The table stays what it is: format, codec, partitions, buckets, properties and place. Its rows are copied
+    beside it and compared first, and the copy stays until they are back. ``fmt`` is the format of the copy.
+    """
+    columns = spark.catalog.listColumns(table)
+    partition_by = [column.name for column in columns if column.isPartition]
+    buckets = [column.name for column in columns if column.isBucket]
+
+    def together(rows: DataFrame) -> DataFrame:
+        if buckets and not partition_by:
+            return rows.hint("rebalance", bucket_count(spark, table), *buckets)
+        return _together(rows, partition_by)
+
     with _merged_reads(spark, target_bytes):
-        staged = stage_table(_together(spark.table(table), partition_by), table, partition_by, fmt)
-    _same_rows(spark.table(table), spark.table(staged))
-    swap_table(spark, staged, table)
+        staged = stage_table(spark.table(table), table, (), fmt)
+        _same_rows(spark.table(table), spark.table(staged))
+        commit_table(spark, staged, table, together)
+
+
+def bucket_count(spark: SparkSession, table: str) -> int:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return int(described.where("col_name = 'Num Buckets'").select("data_type").first()[0])
 
 
 def _merged_reads(spark: SparkSession, target_bytes: int):
@@ -141,6 +171,7 @@ def _merged_reads(spark: SparkSession, target_bytes: int):
         spark__sql__files__openCostInBytes="0",
         spark__sql__files__minPartitionNum="1",
         spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_bytes),
+        spark__sql__sources__partitionColumnTypeInference__enabled="false",
     )
 
 
@@ -149,9 +180,15 @@ def _together(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def _same_rows(before: DataFrame, after: DataFrame) -> None:
-    expected, found = before.count(), after.count()
+    """Compares the number of rows and the sum of their hashes, which depends on every value but on no order."""
+
+    def figures(rows: DataFrame) -> tuple:
+        texts = [F.to_json(F.struct(F.col(f"`{name}`"))) for name in before.columns]
+        return tuple(rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*texts).cast("decimal(20,0)"))).first())
+
+    expected, found = figures(before), figures(after)
     if expected != found:
-        raise RuntimeError(f"{expected} rows before, {found} after the rewrite; the old files are untouched")
+        raise RuntimeError(f"rows and hash were {expected} before and are {found} after; the old files are untouched")
 
 
 def analyze_table(
