@@ -488,7 +488,7 @@ def _all() -> dict[str, str]:
     sql["p2_report_job"] = given("people", "logins", "support", "billing") + " " + " UNION ALL ".join([
         long_form(sql["r1_executive_summary"], "week_start", weekly_items, report="executive_summary"),
         long_form(RISK_REPORT, "customer_id", risk_items, report="churn_risk_report"),
-        long_form(SEGMENTS, "segment || '/' || plan_type", segment_items, report="segment_performance"),
+        long_form(SEGMENTS, "coalesce(segment, '') || '/' || coalesce(plan_type, '')", segment_items, report="segment_performance"),
     ])
     return sql
 

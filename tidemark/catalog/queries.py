@@ -645,7 +645,7 @@ def p2_report_job(spark, d):
     def same(*names: str) -> dict[str, str]:
         return {name: name for name in names}
 
-    segments = segments.withColumn("group", F.concat_ws("/", "segment", "plan_type"))
+    segments = segments.withColumn("group", F.concat(F.coalesce("segment", F.lit("")), F.lit("/"), F.coalesce("plan_type", F.lit(""))))
     held = [
         _long(weekly, "week_start", same("active_customers", "total_revenue", "total_orders", "avg_order_value", "revenue_wow_pct"), report="executive_summary"),
         _long(risk, "customer_id", same("mrr", "days_since_login", "open_support_tickets", "failed_payments_last_90d"), report="churn_risk_report"),
