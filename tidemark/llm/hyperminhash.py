@@ -15,9 +15,12 @@ from tidemark.llm.components import connected_components
 from tidemark.llm.shingles import mix, shingle_set, texts_of
 from tidemark.llm.store import written
 
+#: Every sketch spreads the whole set over its buckets, so that each band of a few buckets rests on a good part of the set.
+SKETCHES = 14
 BAND_REGISTERS = 6
-BANDS = 42
-REGISTERS = BAND_REGISTERS * BANDS
+BUCKETS = 3 * BAND_REGISTERS
+REGISTERS = SKETCHES * BUCKETS
+BANDS = REGISTERS // BAND_REGISTERS
 MANTISSA_BITS = 10
 EMPTY = 0xFFFF
 #: Pairs whose estimate lies more than this many standard errors below the threshold are not confirmed.
@@ -26,18 +29,27 @@ STANDARD_ERRORS = 6.0
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, set_digest binary, registers binary, band_keys array<long>"
 
 
+_SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
+_FIRST_BUCKETS = (np.arange(SKETCHES) * BUCKETS)[:, None]
+
+
 def registers_of(hashes: np.ndarray) -> np.ndarray:
-    """The signature of a set of 64-bit hashes: in each bucket the smallest value, cut to 16 bits.
+    """The signature of a set of 64-bit hashes: in each bucket of each sketch the smallest value, cut to 16 bits.
 
     A register holds the count of leading zeros (as a binary exponent, so that a smaller value has a smaller
     register) in its upper 6 bits and the first mantissa bits after the leading one in its lower 10 bits.
     """
     registers = np.full(REGISTERS, EMPTY, dtype=np.uint16)
-    if len(hashes):
-        values = np.maximum(mix(hashes ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(11), np.uint64(1)).astype(np.float64)
+    for start in range(0, len(hashes), 1 << 16):
+        mixed = hashes[None, start : start + (1 << 16)] * _SEEDS[:, None]
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        buckets = ((mixed >> np.uint64(32)) * np.uint64(BUCKETS) >> np.uint64(32)).astype(np.int64) + _FIRST_BUCKETS
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        values = np.maximum(mixed >> np.uint64(11), np.uint64(1)).astype(np.float64)
         cut = values.view(np.uint64) >> np.uint64(52 - MANTISSA_BITS)
-        cut = (cut - np.uint64(1023 << MANTISSA_BITS)).astype(np.uint16)
-        np.minimum.at(registers, (hashes % np.uint64(REGISTERS)).astype(np.int64), cut)
+        np.minimum.at(registers, buckets.ravel(), (cut - np.uint64(1023 << MANTISSA_BITS)).astype(np.uint16).ravel())
     return registers
 
 
