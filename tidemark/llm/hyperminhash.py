@@ -8,7 +8,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
@@ -25,6 +25,9 @@ MANTISSA_BITS = 10
 EMPTY = 0xFFFF
 #: Pairs whose estimate lies more than this many standard errors below the threshold are not confirmed.
 STANDARD_ERRORS = 6.0
+#: Members of a chunk in the second round, and shingles that are counted together.
+CHUNK = 512
+COLUMNS = 16_384
 
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, set_digest binary, registers binary, band_keys array<long>"
 
@@ -143,10 +146,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_column: s
 
     Documents with equal sets become one class, so copies cost one row each. Classes meet in the buckets of 42
     bands of 6 registers: two sets with a Jaccard of 0.8 share none of them with a chance of 3e-6. First every
-    member of a bucket is held against its smallest id. Members that are then in one component need no further
-    comparison; only those outside the largest component of a bucket are held against the rest, so a bucket full of
-    near copies never yields all its pairs, and no link between two components goes untested. A pair is
-    first judged by its registers, then confirmed on the two full sets.
+    member of a bucket is held against its smallest id, the hub: a pair is judged by its registers and then confirmed on the
+    two full sets. Members that are then in one component need no further comparison. Those outside the largest
+    component around a hub are held against the rest, on full sets and in blocks, of which only links come out. So a group
+    of near copies never yields all its pairs, and no link between two components goes untested.
 
     Null and empty texts have an empty set, n_shingles 0 and no links. A null id links with nothing and is kept as a
     row with null component_id and kept = false. Repeated rows are copies of each other; rows that share an id but not a text
@@ -162,15 +165,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_column: s
     members = first.select(F.explode("band_keys").alias("band"), F.col("doc_id").alias("member"))
     shared = members.groupBy("band").agg(F.min("member").alias("hub"), F.max("member").alias("last")).where("hub <> last").drop("last")
     buckets = written(members.join(shared, "band").where("member <> hub"), "buckets")
-
-    registers = first.select("doc_id", "n_shingles", "registers")
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     tested = buckets.select(F.col("hub").alias("a"), F.col("member").alias("b")).distinct()
-    links = _confirm(tested, registers, texts, k, percent)
-    label = connected_components(links)
+    wanted = buckets.select("member").union(buckets.select("hub")).distinct().select(F.col("member").alias("doc_id"))
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(partial(_sets, k=k), "doc_id long, shingles binary")
+    sets = written(sets, "sets")
 
-    rest = _untested(buckets, label)
-    more = _confirm(rest, registers, texts, k, percent)
+    links = _confirm(tested, first.select("doc_id", "n_shingles", "registers"), sets, percent)
+    label = connected_components(links)
+    more = _cross_links(buckets, label, sets, percent)
     if not more.isEmpty():
         label = connected_components(links.unionByName(more))
     label = label.select(F.col("id").alias("class_id"), "component")
@@ -182,28 +185,107 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_column: s
     )
 
 
-def _untested(buckets: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components, the smallest id of the bucket left out as it was tested."""
-    known = label.select(F.col("id").alias("member"), "component")
-    placed = buckets.join(known, "member", "left").select("band", "member", F.coalesce("component", "member").alias("component"))
-    parts = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("k")).where("k > 1")
-    mixed = mixed.select("band", F.col("top.component").alias("top"))
-    open_members = written(placed.join(mixed, "band"), "open")
-    outside = open_members.where("component <> top").select("band", F.col("member").alias("a"), F.col("component").alias("ca"))
-    pairs = outside.join(open_members, "band").where("component <> ca AND (component = top OR member > a)")
-    return pairs.select(F.least("a", "member").alias("a"), F.greatest("a", "member").alias("b")).distinct()
-
-
-def _confirm(pairs: DataFrame, registers: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, registers: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are links, after the estimate and the comparison of full sets."""
     for side in "ab":
         pairs = pairs.join(registers.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("registers").alias(f"registers_{side}")), side)
     likely = written(pairs.mapInArrow(partial(_likely, percent=percent), "a long, b long"), "likely")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(partial(_sets, k=k), "doc_id long, shingles binary")
-    sets = written(sets, "sets")
     full = likely
     for side in "ab":
         full = full.join(sets.select(F.col("doc_id").alias(side), F.col("shingles").alias(f"shingles_{side}")), side)
     return written(full.mapInArrow(partial(_confirmed, percent=percent), "a long, b long"), "confirmed")
+
+
+def open_members(buckets: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows (hub, member, component, outside) of what the first round has left open.
+
+    A bucket is open while members other than its hub, with which all were compared, lie in several components. Open
+    buckets of one hub are taken together, as those of a group of near copies mostly have the same one. ``outside`` marks
+    members that are not in the largest component of their hub.
+    """
+    known = label.select(F.col("id").alias("member"), "component")
+    placed = written(buckets.join(known, "member", "left").withColumn("component", F.coalesce("component", "member")), "placed")
+    several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    left = written(placed.join(several.select("band"), "band", "left_semi").select("hub", "member", "component").distinct(), "open")
+    parts = left.groupBy("hub", "component").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("hub").agg(F.max(F.struct("n", "component")).alias("top")).select("hub", F.col("top.component").alias("top"))
+    return left.join(largest, "hub").select("hub", "member", "component", (F.col("component") != F.col("top")).alias("outside"))
+
+
+def _cross_links(buckets: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one hub's open buckets that are in different components.
+
+    Members outside the largest component are held against all others; members inside it are never held against each
+    other. Both come in chunks, and each pair of chunks is compared in one group on the full sets, from which
+    only links come out.
+    """
+    left = written(open_members(buckets, label), "outsiders")
+    counts = left.groupBy("hub").agg(F.sum(F.col("outside").cast("long")).alias("n_out"), F.sum((~F.col("outside")).cast("long")).alias("n_in"))
+    chunks = counts.select("hub", *[F.ceil(F.col(f"n_{side}") / CHUNK).cast("int").alias(f"k_{side}") for side in ("out", "in")])
+    left = left.join(chunks, "hub")
+    own = F.pmod(F.xxhash64("member"), F.when(F.col("outside"), F.col("k_out")).otherwise(F.col("k_in"))).cast("int")
+    left = left.withColumn("own", own)
+
+    def blocks(k: str, of) -> Column:
+        return F.when(F.col(k) > 0, F.transform(F.sequence(F.lit(0), F.col(k) - 1), of)).otherwise(F.array().cast("array<struct<across:boolean,i:int,j:int>>"))
+
+    def block(across: bool, i: Column, j: Column) -> Column:
+        return F.struct(F.lit(across).alias("across"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+
+    among = blocks("k_out", lambda x: block(False, F.least(F.col("own"), x), F.greatest(F.col("own"), x)))
+    to_inside = blocks("k_in", lambda x: block(True, F.col("own"), x))
+    from_inside = blocks("k_out", lambda x: block(True, x, F.col("own")))
+    spread = left.withColumn("block", F.explode(F.when(F.col("outside"), F.concat(among, to_inside)).otherwise(from_inside)))
+    spread = spread.select("hub", "block.*", "member", "component", "outside", "own")
+    groups = spread.join(sets.select(F.col("doc_id").alias("member"), "shingles"), "member").repartition("hub", "across", "i", "j")
+    ordered = groups.sortWithinPartitions("hub", "across", "i", "j", "member")
+    return written(ordered.mapInArrow(partial(_compared, percent=percent), "a long, b long").distinct(), "cross_links")
+
+
+def _compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of each group of rows sorted by (hub, across, i, j)."""
+    held: list[dict] = []
+    key = None
+    for batch in batches:
+        for row in batch.to_pylist():
+            group = (row["hub"], row["across"], row["i"], row["j"])
+            if group != key and held:
+                yield _block_links(held, percent)
+                held = []
+            key = group
+            held.append(row)
+    if held:
+        yield _block_links(held, percent)
+
+
+def _block_links(rows: list[dict], percent: int) -> pa.RecordBatch:
+    """Links between rows of the two sides of a block, or of one chunk, that are in different components.
+
+    Intersections are counted by a product of matrices over the shingles that several of the sets have.
+    """
+    across, i, j = rows[0]["across"], rows[0]["i"], rows[0]["j"]
+    right = np.array([not row["outside"] if across else row["own"] == j for row in rows])
+    left = ~right if across else np.array([row["own"] == i for row in rows])
+    a, b = np.flatnonzero(left), np.flatnonzero(right)
+    out = np.empty((0, 2), dtype=np.int64)
+    if len(a) and len(b):
+        sets = [np.frombuffer(row["shingles"], dtype=np.uint64) for row in rows]
+        sizes = np.array([len(s) for s in sets])
+        shingles, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        common = np.flatnonzero(times > 1)
+        place = np.full(len(shingles), -1)
+        place[common] = np.arange(len(common))
+        column = place[column]
+        both = np.zeros((len(a), len(b)))
+        for start in range(0, len(common), COLUMNS):
+            inside = (column >= start) & (column < start + COLUMNS)
+            has = np.zeros((len(sets), min(COLUMNS, len(common) - start)), dtype=np.float32)
+            has[owner[inside], column[inside] - start] = 1
+            both += has[a] @ has[b].T
+        linked = 100 * both >= percent * (sizes[a][:, None] + sizes[b][None, :] - both)
+        ids, components = (np.array([row[name] for row in rows]) for name in ("member", "component"))
+        linked &= components[a][:, None] != components[b][None, :]
+        x, y = np.nonzero(linked)
+        out = np.stack((np.minimum(ids[a][x], ids[b][y]), np.maximum(ids[a][x], ids[b][y])), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b"])
