@@ -82,6 +82,14 @@ def test_loss_spans_cover_what_assistants_say(spark):
     assert three.formatted is None
 
 
+def test_roles_stay_as_they_are(spark):
+    """Also where a layout has names of its own for the usual roles."""
+    for roles in (["system", "user", "assistant", "user"], ["system", "gpt", "human", None], ["bot"], ["user", "assistant", ""]):
+        rows = spark.createDataFrame([(1, i, role, f"t{i}") for i, role in enumerate(roles)], "conv_id long, turn long, role string, text string")
+        read = chat.read_chats(chat.format_chats(chat.canonical_turns(chat.as_records(rows)))).first()
+        assert [tuple(turn) for turn in read.read_turns] == [(role or "", f"t{i}") for i, role in enumerate(roles)]
+
+
 def test_long_conversation_and_empty_table(spark):
     rows = spark.range(5000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("assistant").alias("role"), F.lit("<x>" * 40).alias("text"))
     read = chat.read_chats(chat.format_chats(chat.canonical_turns(chat.as_records(rows)))).first()

@@ -17,6 +17,7 @@ class Part:
     role: str | None = None
     role_field: str | None = None
     text_field: str | None = None
+    roles: tuple[tuple[str, str], ...] = ()  # names of roles here, and what they are called in turns
 
 
 @dataclass(frozen=True)
@@ -28,10 +29,10 @@ class Layout:
     parts: tuple[Part, ...]
 
 
-def _messages(name: str, path: str, role_field: str, text_field: str) -> Layout:
+def _messages(name: str, path: str, role_field: str, text_field: str, *roles: tuple[str, str]) -> Layout:
     first, second = sorted((role_field, text_field))
     fields = f"OBJECT<{path}: ARRAY<OBJECT<{first}, {second}>>>"
-    return Layout(name, fields, (Part(f"$.{path}", role_field=role_field, text_field=text_field),))
+    return Layout(name, fields, (Part(f"$.{path}", role_field=role_field, text_field=text_field, roles=roles),))
 
 
 def _fields(name: str, *pairs: tuple[str, str]) -> Layout:
@@ -41,13 +42,11 @@ def _fields(name: str, *pairs: tuple[str, str]) -> Layout:
 
 LAYOUTS = (
     _messages("messages", "messages", "role", "content"),
-    _messages("conversations", "conversations", "from", "value"),
+    _messages("conversations", "conversations", "from", "value", ("human", "user"), ("gpt", "assistant")),
     _fields("prompt", ("prompt", "user"), ("completion", "assistant")),
     _fields("prompt_system", ("system", "system"), ("prompt", "user"), ("completion", "assistant")),
     _fields("instruction", ("instruction", "user"), ("output", "assistant")),
 )
-#: Role names of other layouts; any other role stays as it is.
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant"}
 
 
 def field_paths(record: Column) -> Column:
@@ -86,10 +85,7 @@ def _part(part: Part) -> Column:
 
     def turn(message: Column) -> Column:
         role = F.coalesce(message[part.role_field], F.lit(""))
-        renamed = role
-        for other, known in ROLES.items():
-            renamed = F.when(role == other, known).otherwise(renamed)
-        return F.struct(renamed.alias("role"), F.coalesce(message[part.text_field], F.lit("")).alias("text"))
+        return F.struct(_renamed(role, dict(part.roles)).alias("role"), F.coalesce(message[part.text_field], F.lit("")).alias("text"))
 
     return F.transform(messages, turn)
 
@@ -155,13 +151,20 @@ def read_chats(chats: DataFrame) -> DataFrame:
     return chats.withColumn("read_turns", F.col("read__.turns")).withColumn("loss_text", F.col("read__.loss_text")).drop("read__")
 
 
+def _renamed(role: Column, names: dict[str, str]) -> Column:
+    renamed = role
+    for name, other in names.items():
+        renamed = F.when(role == name, other).otherwise(renamed)
+    return renamed
+
+
 def as_records(rows: DataFrame) -> DataFrame:
     """(conv_id, record): rows of (conv_id, turn, role, text) as one JSON record per conversation, in its natural layout.
 
     A single exchange of a user and an assistant becomes a prompt or, if a system text leads it, a prompt with that;
-    an exchange whose question is one line becomes an instruction; longer conversations become messages, those
-    that begin with a system text in the from/value form. Turns are ordered by turn, role and text. Null roles and texts
-    become empty.
+    an exchange whose question is one line becomes an instruction; longer conversations become messages, those of
+    the three usual roles that begin with a system text in the from/value form, where users are human and assistants
+    gpt. Turns are ordered by turn, role and text. Null roles and texts become empty.
     """
     said = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = F.array_sort(F.collect_list(said))
@@ -174,12 +177,14 @@ def as_records(rows: DataFrame) -> DataFrame:
     exchange = roles == F.array(F.lit("user"), F.lit("assistant"))
     with_system = roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))
     messages = F.to_json(F.struct(F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content"))).alias("messages")))
-    told = F.to_json(F.struct(F.transform("t", lambda x: F.struct(x["role"].alias("from"), x["text"].alias("value"))).alias("conversations")))
+    names = {"system": "system", "user": "human", "assistant": "gpt"}
+    usual = F.forall("t", lambda x: x["role"].isin(*names))
+    told = F.to_json(F.struct(F.transform("t", lambda x: F.struct(_renamed(x["role"], names).alias("from"), x["text"].alias("value"))).alias("conversations")))
     chosen = (
         F.when(exchange & ~F.contains(F.get(text, F.lit(0)), F.lit("\n")), record(("instruction", 0), ("output", 1)))
         .when(exchange, record(("prompt", 0), ("completion", 1)))
         .when(with_system, record(("system", 0), ("prompt", 1), ("completion", 2)))
-        .when(F.get(roles, F.lit(0)) == "system", told)
+        .when((F.get(roles, F.lit(0)) == "system") & usual, told)
         .otherwise(messages)
     )
     return chats.select("conv_id", chosen.alias("record"))

@@ -112,6 +112,25 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_chat_formatting": f"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '{PLANTED_CHAT}' UNION ALL SELECT -7, 1, 'assistant', '{PLANTED_CHAT}'),
+        counted AS (SELECT *, length(role) + length(text)
+            + length(regexp_replace(role || text, '[^<>\\\\]', '', 'g')) + {len(chat.OPEN + chat.MIDDLE + chat.CLOSE)} AS n FROM rows),
+        chats AS (SELECT conv_id, count(*) AS n_turns, sum(n) AS formatted_chars,
+            string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+            coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+            list(role ORDER BY turn, role, text) AS roles, first(text ORDER BY turn, role, text) AS opening FROM counted GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+            CAST(formatted_chars AS BIGINT) AS formatted_chars, CASE
+                WHEN roles = ['user', 'assistant'] AND position(chr(10) IN opening) = 0 THEN 'instruction'
+                WHEN roles = ['user', 'assistant'] THEN 'prompt'
+                WHEN roles = ['system', 'user', 'assistant'] THEN 'prompt_system'
+                WHEN roles[1] = 'system' AND list_has_all(['system', 'user', 'assistant'], roles) THEN 'conversations'
+                ELSE 'messages' END AS layout
+        FROM chats
+    """,
     "op4_stream_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
