@@ -51,7 +51,7 @@ def test_stages_on_odd_documents(spark, odd_documents):
 
 def test_sql_equals_queries(spark):
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     for name, sql in ORACLE_SQL.items():
         ours = QUERIES[name](spark, SF_DIR)

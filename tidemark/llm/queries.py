@@ -131,6 +131,30 @@ ORACLE_SQL = {
                 ELSE 'messages' END AS layout
         FROM chats
     """,
+    "op2_hyperminhash_dedup": r"""
+        WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w
+            ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM split),
+        sizes AS (SELECT doc_id, count(s) AS n FROM split LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM shingles a JOIN shingles b USING (s)
+            WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+            WHERE 100 * k >= 80 * (a.n + b.n - k)),
+        reached AS (SELECT doc_id, doc_id AS other FROM sizes
+            UNION SELECT doc_id, y FROM reached JOIN links ON x = other)
+        SELECT doc_id, n AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+        FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id, n
+    """,
+    "op10_lattice_dedup": """
+        WITH RECURSIVE vectors AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE isfinite(list_cosine_similarity(a.e, b.e)) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+        reached AS (SELECT vec_id, vec_id AS other FROM vectors UNION SELECT vec_id, y FROM reached JOIN links ON x = other),
+        counted AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+        SELECT vec_id, coalesce(n, 0) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+        FROM reached LEFT JOIN counted USING (vec_id) GROUP BY vec_id, n
+    """,
     "op4_stream_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
