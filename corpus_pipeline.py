@@ -14,8 +14,9 @@ from tidemark.llm import hyperminhash, langid, packing, sanitise, stream_dedup
 from tidemark.llm.queries import WORD_BPE  # noqa: E402
 from tidemark.llm.store import share_code, written  # noqa: E402
 
-#: Cosine with the best language below which a document counts as no language.
-LEAST_SCORE = 0.2
+#: Cosine with the best language below which a document counts as no language. Short clean texts score low, so only those go
+#: that have no letter or resemble no language at all.
+LEAST_SCORE = 0.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
