@@ -56,8 +56,8 @@ def exact_duplicates(
 
     Of equal texts the row with the largest id stays; ``keep_id`` is its id. The rows arrive, without their texts, in a
     stream of digest, id and content locator (``locator``, or else the id and the number of bytes); ``run_stream``
-    groups them in state on disk. Rows whose digest occurs more than once are hits. All bytes of hits are read and
-    compared: where texts of one digest differ, they are grouped by the texts themselves.
+    groups them in state on disk. All bytes of the rows that share a digest are then compared: where texts of one
+    digest differ, they are grouped by the texts themselves.
 
     Null texts count as empty, and empty texts equal each other. A null id never stays if its group has another; in a
     group of null ids alone keep_id is null and all rows stay. Rows equal in id and text stay together. Other columns
@@ -75,10 +75,9 @@ def exact_duplicates(
     stream = spark.readStream.schema(light.schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{folder}/arrivals")
     state = run_stream(spark, stream, f"{folder}/state")
 
-    groups = state.where("group_size > 1").select("digest")
-    hits = rows.select("digest", "text").join(groups, "digest", "left_semi")
-    compared = hits.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
-    collided = written(compared.where("low <> high").select("digest"), "collided")
+    # Copies meet in each task before the shuffle, so a text that very many rows share costs no task more than another.
+    compared = rows.groupBy("digest").agg(F.collect_set("text").alias("texts"))
+    collided = written(compared.where("size(texts) > 1").select("digest"), "collided")
     found = light.select("doc_id", "digest").join(state, "digest")
     if not collided.isEmpty():
         clash = rows.join(collided, "digest", "left_semi")
