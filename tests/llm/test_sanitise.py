@@ -86,3 +86,24 @@ def test_running_totals_of_long_arrays(spark):
     rows = spark.createDataFrame([(n,) for n in (1, 127, 128, 129, 1000)], "n int").withColumn("a", F.sequence(F.lit(1), F.col("n")))
     for row in rows.withColumn("b", sanitise._running(F.col("a"), F.lit(0), lambda now, x: now + x, "int")).collect():
         assert row.b == [sum(range(i)) for i in range(1, row.n + 1)]
+
+
+def filler():
+    return [(1000 + i, "the plain agent talks to others and writes " * 1500) for i in range(5)]
+
+
+def listed(spark, rows):
+    rows = spark.createDataFrame([*rows, *filler()], "doc_id long, text string")
+    base = sanitise.written(sanitise.find_base(rows), "base")
+    return {row.term: row.kind for row in sanitise.revealing_terms(base, rows).collect()}
+
+
+def test_contexts_go_on_beyond_other_matches(spark):
+    cards = [(i, f"card 4111 1111 1111 1111, 12/27 Mustermann {chr(97 + i) * 9}") for i in range(4)]
+    lists = [(10 + i, f"{chr(97 + i) * 8} first@x.org, b{i}@x.org: Falconwing +49 30 1234567") for i in range(4)]
+    assert listed(spark, cards + lists) == {"mustermann": "cue", "falconwing": "cue", "card": "cue"}
+    base = sanitise.find_base(spark.createDataFrame([(1, "first@x.org, b@x.org: Falconwing")], "doc_id long, text string")).first()
+    assert {near.entity: (near.n_chars, near.terms) for near in base.contexts} == {
+        "email:first@x.org": (14, ["falconwing"]),
+        "email:b@x.org": (14, ["falconwing"]),
+    }

@@ -21,6 +21,7 @@ PATTERNS = {
 }
 #: What a text must hold for a pattern to be tried at all.
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
+WORD = r"\p{L}"
 TERM = r"\p{L}{4,}"
 
 #: Characters on each side of an entity that count as its context.
@@ -35,8 +36,11 @@ REMOVE_SHARE = 0.9
 
 #: Size of the bit set that sifts words before they are joined; it sifts less well if there are very many terms.
 BITS = 1 << 18
-#: Items of an array that are scanned together.
+#: Items of an array that are scanned together, and characters of a text.
 BLOCK = 128
+TEXT_BLOCK = 256
+#: What stands for each character of a base span where words are looked for.
+BLANK = "\0"
 
 TAGS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "cue": ""}
 
@@ -108,8 +112,6 @@ def _mention_of(kind: str) -> Callable[[Column, Column], Column]:
             start.alias("start"),
             (start + F.length(pair["match"])).alias("end"),
             F.concat(F.lit(f"{kind}:"), entity).alias("entity"),
-            F.right(F.get("gaps", i), F.lit(CONTEXT + 1)).alias("left"),
-            F.left(F.get("gaps", i + 1), F.lit(CONTEXT + 1)).alias("right"),
             VALID[kind](pair["match"]).alias("valid"),
         )
 
@@ -121,7 +123,7 @@ def _span_of(kind: int) -> Callable[[Column], Column]:
 
 
 def _mentions(docs: DataFrame) -> DataFrame:
-    """Adds, for each kind, an array of its valid matches: start, end, entity and the texts left and right of it."""
+    """Adds, for each kind, an array of its valid matches: start, end and entity."""
     for kind, pattern in PATTERNS.items():
         found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
         if NEEDS[kind]:
@@ -139,30 +141,108 @@ def _mentions(docs: DataFrame) -> DataFrame:
     return docs
 
 
-def _context_terms(mention: Column) -> Column:
-    """The distinct lower-case terms on both sides of a mention; a word cut by the edge of the context does not count."""
-    left = F.when(F.length(mention["left"]) > CONTEXT, F.regexp_replace(mention["left"], r"^\p{L}*", "")).otherwise(mention["left"])
-    right = F.when(F.length(mention["right"]) > CONTEXT, F.regexp_replace(mention["right"], r"\p{L}*$", "")).otherwise(mention["right"])
-    both = F.regexp_replace(F.concat(left, F.lit(" "), right), PATTERNS["email"], " ")
-    return F.array_distinct(F.regexp_extract_all(F.lower(both), F.lit(TERM), F.lit(0)))
+def _blocks(text: str) -> Column:
+    """The text in blocks of TEXT_BLOCK characters, so that a piece of it is cut out without walking through all before it."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0))
+
+
+def _piece(blocks: str, start: Column, end: Column) -> Column:
+    """The characters from ``start`` up to ``end`` of a text in blocks."""
+    first = F.floor(start / TEXT_BLOCK).cast("int")
+    near = F.slice(blocks, first + 1, F.floor(end / TEXT_BLOCK).cast("int") - first + 1)
+    return F.substring(F.array_join(near, ""), start % TEXT_BLOCK + 1, end - start)
+
+
+def _blanked(docs: DataFrame) -> DataFrame:
+    """Adds ``blank``, the text of the same length with BLANK for each character of a base span; null if there is no span."""
+    docs = docs.withColumn("ordered", F.when(F.size("base") > 0, F.array_sort(F.transform("base", lambda s: F.struct(s["start"], s["end"])))))
+    docs = docs.withColumn("reached", F.when(F.size("base") > 0, _running(F.col("ordered"), F.lit(0), lambda now, s: F.greatest(now, s["end"]), "int")))
+    docs = docs.withColumn("blocks", F.when(F.size("base") > 0, _blocks("text")))
+
+    def part(span: Column, at: Column) -> Column:
+        before = F.when(span["start"] > at, _piece("blocks", at, span["start"])).otherwise("")
+        return F.concat(before, F.repeat(F.lit(BLANK), F.greatest(F.lit(0), span["end"] - F.greatest(at, span["start"]))))
+
+    last = F.array_max(F.transform("ordered", lambda s: s["end"]))
+    blank = F.concat(F.array_join(F.zip_with("ordered", "reached", part), ""), _piece("blocks", last, F.length("text")))
+    return docs.withColumn("blank", F.when(F.size("base") > 0, blank)).drop("ordered", "reached", "blocks")
+
+
+def _free_chars(text: Column) -> Column:
+    return F.length(F.translate(text, BLANK, ""))
+
+
+def _contexts(docs: DataFrame) -> DataFrame:
+    """Adds ``contexts`` (array of entity, n_chars, terms): the stretches of ``blank`` within CONTEXT characters of an entity.
+
+    Where those of several mentions of one entity meet they are one. Characters of base
+    spans do not count, nor do words cut by an edge.
+    """
+    mentions = F.transform(
+        "mentions",
+        lambda m: F.struct(
+            m["entity"].alias("entity"),
+            F.greatest(F.lit(0), m["start"] - CONTEXT).alias("start"),
+            F.least(F.length("blank"), m["end"] + CONTEXT).alias("end"),
+        ),
+    )
+    docs = docs.withColumn("windows", F.when(F.size("base") > 0, F.array_sort(mentions)))
+    docs = docs.withColumn("blocks", F.when(F.size("base") > 0, _blocks("blank")))
+
+    def begins(window: Column, i: Column) -> Column:
+        before = F.get("windows", i - 1)
+        return (i == 0) | (window["entity"] != before["entity"]) | (window["start"] > before["end"])
+
+    firsts = F.filter(F.transform("windows", lambda w, i: F.when(begins(w, i), i)), lambda i: i.isNotNull())
+    docs = docs.withColumn("firsts", firsts)
+
+    def stretch(i: Column, j: Column) -> Column:
+        last = F.coalesce(F.get("firsts", j + 1), F.size("windows")) - 1
+        start, end = F.get("windows", i)["start"], F.get("windows", last)["end"]
+        # One character more on each side shows whether a word is cut.
+        return F.struct(
+            F.get("windows", i)["entity"].alias("entity"),
+            _piece("blocks", start, end).alias("text"),
+            F.when(start > 0, _piece("blocks", start - 1, start)).otherwise("").alias("left"),
+            _piece("blocks", end, end + 1).alias("right"),
+        )
+
+    docs = docs.withColumn("stretches", F.transform("firsts", stretch))
+
+    def context(s: Column) -> Column:
+        text = F.when(s["left"].rlike(f"{WORD}$"), F.regexp_replace(s["text"], f"^{WORD}++", "")).otherwise(s["text"])
+        text = F.when(s["right"].rlike(f"^{WORD}"), F.regexp_replace(text, f"(?<!{WORD}){WORD}++$", "")).otherwise(text)
+        return F.struct(s["entity"].alias("entity"), _free_chars(s["text"]).cast("long").alias("n_chars"), F.array_distinct(_words(text)).alias("terms"))
+
+    return docs.withColumn("contexts", F.transform("stretches", context)).drop("windows", "blocks", "firsts", "stretches")
+
+
+def _words(text: Column | str) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
 
 
 def find_base(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: doc_id, text_key, n_chars, base (array of kind, start, end) and contexts (array of entity, terms)."""
+    """One row per document: doc_id, text_key, base (array of kind, start, end), n_chars outside of them, and contexts (array
+    of entity, n_chars, terms). Where there are base spans also text and blank, the same with them blanked; else null.
+    """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     found = _mentions(rows.withColumn("text_key", F.xxhash64("text")))
-
-    def none(kind: str) -> Column:
-        return F.array().cast(kind)
-
-    spans, contexts = [], []
+    spans, mentions = [], []
     for i, kind in enumerate(PATTERNS):
         own = F.transform(kind, _span_of(i))
-        spans.append(F.coalesce(own, none("array<struct<kind:int,start:int,end:int>>")))
-        near = F.transform(kind, lambda m: F.struct(m["entity"].alias("entity"), _context_terms(m).alias("terms")))
-        contexts.append(F.coalesce(near, none("array<struct<entity:string,terms:array<string>>>")))
+        spans.append(F.coalesce(own, F.array().cast("array<struct<kind:int,start:int,end:int>>")))
+        named = F.transform(kind, lambda m: F.struct(m["entity"].alias("entity"), m["start"].alias("start"), m["end"].alias("end")))
+        mentions.append(F.coalesce(named, F.array().cast("array<struct<entity:string,start:int,end:int>>")))
+    found = found.withColumn("base", F.concat(*spans)).withColumn("mentions", F.concat(*mentions))
+    found = _contexts(_blanked(found))
     return found.select(
-        "doc_id", "text_key", F.length("text").alias("n_chars"), F.concat(*spans).alias("base"), F.concat(*contexts).alias("contexts")
+        "doc_id",
+        "text_key",
+        "base",
+        F.coalesce(_free_chars(F.col("blank")), F.length("text")).alias("n_chars"),
+        F.coalesce("contexts", F.array().cast("array<struct<entity:string,n_chars:bigint,terms:array<string>>>")).alias("contexts"),
+        F.when(F.size("base") > 0, F.col("text")).alias("text"),
+        "blank",
     )
 
 
@@ -187,11 +267,11 @@ def _term_filter(terms: DataFrame) -> Callable[[Column], Column]:
 def revealing_terms(base: DataFrame, docs: DataFrame, text_column: str = "text") -> DataFrame:
     """Terms (term, kind) that disclose an entity: kind 'term' to be generalised, 'cue' to be removed.
 
-    For a term t and an entity e, P(e | t) is the share of t's occurrences in the corpus that stand in a context of e, and
-    P(e) the share of the corpus, in characters, that lies in contexts of e. t discloses e by log2(P(e | t) / P(e)) bits. It is
-    listed if that reaches MIN_BITS and P(e | t) reaches GENERALISE_SHARE (term) or REMOVE_SHARE (cue). Pairs are counted
-    before they are shuffled, and only pairs seen in MIN_TEXTS different texts go on, so the copies of one text
-    cannot make its words suspect.
+    Words in contexts and characters are those outside base spans. For a term t and an entity e, P(e | t) is the share of t's occurrences
+    in the corpus that stand in a context of e, and P(e) the share of the corpus, in characters, that lies in contexts
+    of e. t discloses e by log2(P(e | t) / P(e)) bits. It is listed if that reaches MIN_BITS and P(e | t) reaches
+    GENERALISE_SHARE (term) or REMOVE_SHARE (cue). Pairs are counted before they are shuffled, and only pairs seen in
+    MIN_TEXTS different texts go on, so the copies of one text cannot make its words suspect.
     """
     contexts = base.select("text_key", F.explode("contexts").alias("near")).select("text_key", "near.entity", F.explode("near.terms").alias("term"))
     per_text = contexts.groupBy("entity", "term", "text_key").agg(F.count("*").alias("n"))
@@ -201,14 +281,14 @@ def revealing_terms(base: DataFrame, docs: DataFrame, text_column: str = "text")
     if joint.isEmpty():
         return docs.sparkSession.createDataFrame([], schema)
     wanted = _term_filter(joint.select("term").distinct())
-    words = F.filter(F.regexp_extract_all(F.lower(F.coalesce(F.col(text_column), F.lit(""))), F.lit(TERM), F.lit(0)), wanted)
+
+    words = F.filter(_words(F.coalesce(F.col(text_column), F.lit(""))), wanted)
     counts = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     judged = written(joint.join(counts, "term"), "judged")
     total = base.agg(F.sum("n_chars").alias("n")).first()["n"]
-    mentions = base.select(F.explode("contexts").alias("near")).groupBy("near.entity").agg(F.count("*").alias("n_mentions"))
-    # An occurrence between two mentions stands in two contexts.
-    share = F.least(F.lit(1.0), F.col("n_joint") / F.col("n_term"))
-    bits = F.log2(share / (F.col("n_mentions") * F.lit(2.0 * CONTEXT / max(total, 1))))
+    mentions = base.select(F.explode("contexts").alias("near")).groupBy("near.entity").agg(F.sum("near.n_chars").alias("n_near"))
+    share = F.col("n_joint") / F.col("n_term")
+    bits = F.log2(share / (F.greatest(F.lit(1), "n_near") / F.lit(float(max(total, 1)))))
     strong = judged.join(mentions, "entity").where((bits >= MIN_BITS) & (share >= GENERALISE_SHARE))
     kind = F.when(F.max(share) >= REMOVE_SHARE, "cue").otherwise("term")
     return strong.groupBy("term").agg(kind.alias("kind")).select("term", "kind")
@@ -252,7 +332,9 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
     if terms.isEmpty():
         return found.withColumn("spans", F.col("base"))
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    more = _term_spans(rows.withColumn("text_key", F.xxhash64("text")), terms)
+    # In texts with base spans, words that touch one are found as they were counted: in what blanking leaves.
+    marked = base.where(F.col("blank").isNotNull()).select("doc_id", F.col("blank").alias("text"), "text_key")
+    more = _term_spans(rows.withColumn("text_key", F.xxhash64("text")).unionByName(marked), terms)
     more = more.select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_"), "found")
     both = found.join(more, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("text_key") == F.col("key_")), "left")
     free = F.filter("found", lambda t: ~F.exists("base", lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])))
