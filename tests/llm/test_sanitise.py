@@ -107,3 +107,36 @@ def test_contexts_go_on_beyond_other_matches(spark):
         "email:first@x.org": (14, ["falconwing"]),
         "email:b@x.org": (14, ["falconwing"]),
     }
+
+
+def test_every_occurrence_counts_once(spark):
+    rows = [(i, f"Bluefalcon met bluefalcon bob@evil.org, bob@evil.org BLUEFALCON {chr(97 + i) * 9}") for i in range(4)]
+    rows += [(10 + i, f"{chr(107 + i) * 9} Janesmith <janesmith.janesmith@x.com>") for i in range(4)]
+    assert listed(spark, rows) == {"bluefalcon": "cue", "janesmith": "cue"}
+    assert listed(spark, [*rows, (50, "janesmith"), (51, "janesmith bluefalcon")]) == {"bluefalcon": "cue", "janesmith": "term"}
+
+
+def test_contexts_equal_brute_force(spark):
+    random.seed(2)
+    parts = ["a@b.c", "q@d.e", "1.2.3.4", "4111 1111 1111 1111", "2024", "somewhere", "Kimono", "änderung", "😀", ", ", " ", " ", "\n", "x" * 50, "- " * 60]
+    texts = ["".join(random.choices(parts, k=random.randint(1, 40))) for _ in range(200)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in sanitise.find_base(rows).collect():
+        text, spans = texts[row.doc_id], [tuple(s) for s in row.base]
+        blank = list(text)
+        for _, start, end in spans:
+            blank[start:end] = "\0" * (end - start)
+        blank = "".join(blank)
+        near = {}
+        for kind, start, end in spans:
+            entity = text[start:end].lower() if kind < 2 else re.sub("[^0-9]", "", text[start:end])
+            near.setdefault(f"{sanitise.KINDS[kind]}:{entity}", set()).update(range(max(0, start - 120), min(len(text), end + 120)))
+        expected = {}
+        for entity, places in near.items():
+            words = [m[0].lower() for m in re.finditer(r"[^\W\d_]{4,}", blank) if places.issuperset(range(*m.span()))]
+            expected[entity] = (sum(blank[i] != "\0" for i in places), sorted(words))
+        got = {}
+        for context in row.contexts:
+            n, words = got.get(context.entity, (0, []))
+            got[context.entity] = (n + context.n_chars, sorted(words + context.terms))
+        assert got == expected, text

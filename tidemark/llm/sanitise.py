@@ -175,7 +175,7 @@ def _free_chars(text: Column) -> Column:
 def _contexts(docs: DataFrame) -> DataFrame:
     """Adds ``contexts`` (array of entity, n_chars, terms): the stretches of ``blank`` within CONTEXT characters of an entity.
 
-    Where those of several mentions of one entity meet they are one. Characters of base
+    Where those of several mentions of one entity meet they are one, so that no word counts twice. Characters of base
     spans do not count, nor do words cut by an edge.
     """
     mentions = F.transform(
@@ -212,7 +212,7 @@ def _contexts(docs: DataFrame) -> DataFrame:
     def context(s: Column) -> Column:
         text = F.when(s["left"].rlike(f"{WORD}$"), F.regexp_replace(s["text"], f"^{WORD}++", "")).otherwise(s["text"])
         text = F.when(s["right"].rlike(f"^{WORD}"), F.regexp_replace(text, f"(?<!{WORD}){WORD}++$", "")).otherwise(text)
-        return F.struct(s["entity"].alias("entity"), _free_chars(s["text"]).cast("long").alias("n_chars"), F.array_distinct(_words(text)).alias("terms"))
+        return F.struct(s["entity"].alias("entity"), _free_chars(s["text"]).cast("long").alias("n_chars"), _words(text).alias("terms"))
 
     return docs.withColumn("contexts", F.transform("stretches", context)).drop("windows", "blocks", "firsts", "stretches")
 
@@ -267,7 +267,7 @@ def _term_filter(terms: DataFrame) -> Callable[[Column], Column]:
 def revealing_terms(base: DataFrame, docs: DataFrame, text_column: str = "text") -> DataFrame:
     """Terms (term, kind) that disclose an entity: kind 'term' to be generalised, 'cue' to be removed.
 
-    Words in contexts and characters are those outside base spans. For a term t and an entity e, P(e | t) is the share of t's occurrences
+    All counts are of what lies outside base spans. For a term t and an entity e, P(e | t) is the share of t's occurrences
     in the corpus that stand in a context of e, and P(e) the share of the corpus, in characters, that lies in contexts
     of e. t discloses e by log2(P(e | t) / P(e)) bits. It is listed if that reaches MIN_BITS and P(e | t) reaches
     GENERALISE_SHARE (term) or REMOVE_SHARE (cue). Pairs are counted before they are shuffled, and only pairs seen in
@@ -282,9 +282,14 @@ def revealing_terms(base: DataFrame, docs: DataFrame, text_column: str = "text")
         return docs.sparkSession.createDataFrame([], schema)
     wanted = _term_filter(joint.select("term").distinct())
 
-    words = F.filter(_words(F.coalesce(F.col(text_column), F.lit(""))), wanted)
-    counts = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    judged = written(joint.join(counts, "term"), "judged")
+    def counted(rows: DataFrame, text: Column, n: int) -> DataFrame:
+        return rows.select(F.explode(F.filter(_words(text), wanted)).alias("term")).groupBy("term").agg((F.count("*") * n).alias("n"))
+
+    # Words of all texts, less those of texts with base spans, plus what blanking leaves of these.
+    marked = base.where(F.col("blank").isNotNull())
+    counts = counted(docs, F.coalesce(F.col(text_column), F.lit("")), 1)
+    counts = counts.unionByName(counted(marked, F.col("text"), -1)).unionByName(counted(marked, F.col("blank"), 1))
+    judged = written(joint.join(counts.groupBy("term").agg(F.sum("n").alias("n_term")), "term"), "judged")
     total = base.agg(F.sum("n_chars").alias("n")).first()["n"]
     mentions = base.select(F.explode("contexts").alias("near")).groupBy("near.entity").agg(F.sum("near.n_chars").alias("n_near"))
     share = F.col("n_joint") / F.col("n_term")
