@@ -133,10 +133,17 @@ def test_contexts_equal_brute_force(spark):
             near.setdefault(f"{sanitise.KINDS[kind]}:{entity}", set()).update(range(max(0, start - 120), min(len(text), end + 120)))
         expected = {}
         for entity, places in near.items():
-            words = [m[0].lower() for m in re.finditer(r"[^\W\d_]{4,}", blank) if places.issuperset(range(*m.span()))]
+            words = [m[0].lower() for m in re.finditer(r"(?!(?<![^\W_])[^\W\d_]{1,2}(?![^\W_]))[^\W_]+", blank) if places.issuperset(range(*m.span()))]
             expected[entity] = (sum(blank[i] != "\0" for i in places), sorted(words))
         got = {}
         for context in row.contexts:
             n, words = got.get(context.entity, (0, []))
             got[context.entity] = (n + context.n_chars, sorted(words + context.terms))
         assert got == expected, text
+
+
+def test_short_names_and_codes_in_two_texts(spark):
+    rows = [(i, f"{chr(97 + i) * 9} Kim, 王 李明 B7 4711 to bob@evil.org") for i in range(2)]
+    assert listed(spark, rows) == dict.fromkeys(("kim", "王", "李明", "b7", "4711"), "cue")
+    rows = spark.createDataFrame([*rows, *filler(), (99, "KIM B7 B77 王")], "doc_id long, text string")
+    assert {row.doc_id: row.text for row in sanitise.redact(rows).collect()}[99] == "[TERM] [TERM] B77 [TERM]"

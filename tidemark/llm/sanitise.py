@@ -21,13 +21,14 @@ PATTERNS = {
 }
 #: What a text must hold for a pattern to be tried at all.
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
-WORD = r"\p{L}"
-TERM = r"\p{L}{4,}"
+#: A term is any word of letters and digits, except one of one or two Latin letters.
+WORD = r"[\p{L}\p{M}\p{N}]"
+TERM = rf"{WORD}{{3,}}+|(?<!{WORD})(?!\p{{IsLatin}}{{1,2}}+(?!{WORD})){WORD}{{1,2}}+"
 
 #: Characters on each side of an entity that count as its context.
 CONTEXT = 120
 #: A term is judged if it stands in the context of one entity in so many different texts.
-MIN_TEXTS = 3
+MIN_TEXTS = 2
 #: Bits by which seeing the term must raise the chance of the entity over its share of the corpus.
 MIN_BITS = 6.0
 #: Share of a term's occurrences near one entity from which it is generalised, and from which it is removed.
