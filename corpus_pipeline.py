@@ -14,15 +14,15 @@ from tidemark.llm import hyperminhash, langid, packing, sanitise, stream_dedup
 from tidemark.llm.queries import WORD_BPE  # noqa: E402
 from tidemark.llm.store import share_code, written  # noqa: E402
 
-#: Cosine with the best language below which a document counts as no language. Short clean texts score low, so only those go
-#: that have no letter or resemble no language at all.
+#: Cosine with the best language below which a document counts as no language, whatever its length. Short clean texts score
+#: low, so apart from texts without a letter only those go that resemble no language more than random text of their length.
 LEAST_SCORE = 0.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in one of the languages that occur in ``lang``; others go, null and letterless ones too."""
     share_code(spark)
-    return langid.keep_known_languages(docs, langid.learn_prototypes(docs), LEAST_SCORE)
+    return langid.keep_known_languages(docs, langid.learn_prototypes(docs), LEAST_SCORE, beyond_chance=True)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -55,3 +55,23 @@ def test_odd_documents(spark, odd_documents):
     assert {row.lang_pred for row in langid.predict_languages(odd_documents, {}).collect()} == {"und"}
     kept = langid.keep_known_languages(odd_documents, prototypes, 0.0)
     assert kept.columns == odd_documents.columns and kept.count() == len(rows) - asked
+
+
+def test_letter_junk_goes_and_short_texts_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    prototypes = langid.learn_prototypes(docs)
+    random = np.random.default_rng(1)
+    latin, other = [chr(c) for c in range(97, 123)], [chr(c) for c in range(0x430, 0x450)]
+
+    def junk(letters, n):
+        return " ".join("".join(random.choice(letters, random.integers(2, 10))) for _ in range(n))
+
+    odd = [(i, junk(letters, n)) for letters in (latin, other) for n in (20, 100, 700) for i in range(20)]
+    odd = spark.createDataFrame(odd, "doc_id long, text string")
+    kept = langid.keep_known_languages(odd, prototypes, 0.0, beyond_chance=True)
+    assert kept.count() <= 0.05 * odd.count()
+    starts = F.array("text", *[F.expr(f"left(text, {n})") for n in (5, 20, 60, 200)])
+    short = docs.select("doc_id", F.explode(starts).alias("text")).where("text rlike '[a-z]'")
+    assert langid.keep_known_languages(short, prototypes, 0.0, beyond_chance=True).count() >= 0.999 * short.count()
+    whole = docs.where("text rlike '[a-z]'")
+    assert langid.keep_known_languages(whole, prototypes, 0.0, beyond_chance=True).count() == whole.count()

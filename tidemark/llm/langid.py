@@ -19,6 +19,31 @@ REMEMBERED_TRIGRAMS = 32_768
 
 UNDETERMINED = "und"
 
+#: A text is held against chance if it has so many different trigrams, and if one of its language would reach such a cosine.
+LEAST_TRIGRAMS = 24
+LEAST_EXPECTED = 0.25
+
+
+class Prototypes(dict):
+    """Unit vectors by language; ``spread`` has for each the chance that two of its trigrams are the same."""
+
+    def __init__(self, vectors: dict[str, np.ndarray] = {}, spread: dict[str, float] = {}):
+        super().__init__(vectors)
+        self.spread = dict(spread)
+
+
+def chance(n: float, spread: float) -> float:
+    """The cosine that text of ``n`` different trigrams must exceed to resemble a language of this spread; -1 for any.
+
+    Unrelated text gives 0 with a deviation of 1 / sqrt(DIMENSIONS) for each language. Random text of a language's letters gives more,
+    the longer the more, but less than two fifths of what its texts give.
+    """
+    expected = np.sqrt(n * spread / (1 + n * spread))
+    if n < LEAST_TRIGRAMS or expected < LEAST_EXPECTED:
+        return -1.0
+    noise = 3.2 / np.sqrt(DIMENSIONS)
+    return float(max(noise, min(0.4 * expected, noise * (n / 32) ** 0.4)))
+
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
@@ -112,7 +137,7 @@ def _bundles(groups: list[list[np.ndarray]]) -> np.ndarray:
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sum of all trigram vectors of each language in this task."""
+    """The sum of all trigram vectors of each language in this task, and behind it their number."""
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         for start in range(0, batch.num_rows, 4 * BLOCK):
@@ -120,15 +145,15 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             groups: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
                 groups.setdefault(lang, []).append(trigram_keys(text))
-            for lang, bundle in zip(groups, _bundles(list(groups.values()))):
-                sums[lang] = sums.get(lang, 0.0) + bundle
+            for (lang, keys), bundle in zip(groups.items(), _bundles(list(groups.values()))):
+                sums[lang] = sums.get(lang, 0.0) + np.append(bundle, sum(map(len, keys)))
     langs = sorted(sums)
     yield pa.RecordBatch.from_arrays(
         [pa.array(langs, pa.string()), pa.array([sums[lang] for lang in langs], pa.list_(pa.float64()))], names=["lang", "bundle"]
     )
 
 
-def learn_prototypes(docs: DataFrame, text_column: str = "text", lang_column: str = "lang") -> dict[str, np.ndarray]:
+def learn_prototypes(docs: DataFrame, text_column: str = "text", lang_column: str = "lang") -> Prototypes:
     """A unit vector for each language from all rows with text and lang.
 
     Every task adds up its own texts and sends one vector per language. The sums are whole numbers, so
@@ -139,53 +164,75 @@ def learn_prototypes(docs: DataFrame, text_column: str = "text", lang_column: st
     partial_sums = rows.mapInArrow(_train, "lang string, bundle array<double>")
     summed = partial_sums.select("lang", F.posexplode("bundle").alias("place", "value")).groupBy("lang", "place").agg(F.sum("value").alias("value"))
     bundles = summed.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("bundle"))
-    prototypes = {}
+    prototypes, spread = {}, {}
     for row in bundles.select("lang", "bundle.value").collect():
-        vector = np.array(row["value"], dtype=np.float64)
+        *vector, n = row["value"]
         if norm := np.linalg.norm(vector):
-            prototypes[row["lang"]] = vector / norm
-    return dict(sorted(prototypes.items()))
+            prototypes[row["lang"]] = np.array(vector) / norm
+            spread[row["lang"]] = float(norm**2 / DIMENSIONS / n**2)
+    return Prototypes(dict(sorted(prototypes.items())), spread)
+
+
+def _scored(texts: list[str | None], langs: list[str], prototypes: np.ndarray) -> Iterator[tuple[str, float, float]]:
+    """For each text its language, the cosine with it, and how many trigrams would have its norm if all were different."""
+    keys = [trigram_keys(text or "") for text in texts]
+    bundles = _bundles([[k] for k in keys])
+    norms = np.linalg.norm(bundles, axis=1)
+    cosines = bundles @ prototypes.T / np.maximum(norms, 1e-300)[:, None]
+    best = cosines.argmax(axis=1) if len(langs) else np.zeros(len(keys), dtype=int)
+    for k, norm, row, b in zip(keys, norms, cosines, best):
+        if len(langs) > 0 and norm > 0:
+            yield langs[b], float(row[b]), len(k) ** 2 * DIMENSIONS / norm**2
+        else:
+            yield UNDETERMINED, 0.0, 0.0
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
-    langs, prototypes = pickle.loads(model)
+    langs, prototypes, _ = pickle.loads(model)
     for batch in batches:
         for start in range(0, batch.num_rows, BLOCK):
             part = batch.slice(start, BLOCK)
-            keys = [trigram_keys(text or "") for text in part.column("text").to_pylist()]
-            bundles = _bundles([[k] for k in keys])
-            norms = np.linalg.norm(bundles, axis=1)
-            cosines = bundles @ prototypes.T / np.maximum(norms, 1e-300)[:, None]
-            best = cosines.argmax(axis=1) if len(langs) else np.zeros(len(keys), dtype=int)
-            known = [len(langs) > 0 and norm > 0 for norm in norms]
+            found = list(_scored(part.column("text").to_pylist(), langs, prototypes))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
-                    pa.array([langs[b] if ok else UNDETERMINED for b, ok in zip(best, known)], pa.string()),
-                    pa.array([float(np.clip(c[b], 0.0, 1.0)) if ok else 0.0 for c, b, ok in zip(cosines, best, known)], pa.float64()),
+                    pa.array([lang for lang, _, _ in found], pa.string()),
+                    pa.array([float(np.clip(cosine, 0.0, 1.0)) for _, cosine, _ in found], pa.float64()),
                 ],
                 names=["doc_id", "lang_pred", "score"],
             )
 
 
-def _known(batches: Iterator[pa.RecordBatch], model: bytes, text_column: str, least: float) -> Iterator[pa.RecordBatch]:
+def _known(batches: Iterator[pa.RecordBatch], model: bytes, text_column: str, least: float, beyond_chance: bool) -> Iterator[pa.RecordBatch]:
+    langs, prototypes, spread = pickle.loads(model)
+
+    def known(lang: str, cosine: float, n: float) -> bool:
+        resembles = not beyond_chance or cosine > chance(n, spread.get(lang, 0.0))
+        return lang != UNDETERMINED and max(cosine, 0.0) >= least and resembles
+
     for batch in batches:
-        nothing = pa.nulls(batch.num_rows, pa.int64())
-        asked = pa.RecordBatch.from_arrays([nothing, batch.column(text_column)], names=["doc_id", "text"])
-        found = pa.Table.from_batches(list(_predict(iter([asked]), model))) if batch.num_rows else None
-        if found is not None:
-            keep = [lang != UNDETERMINED and score >= least for lang, score in zip(found["lang_pred"].to_pylist(), found["score"].to_pylist())]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        for start in range(0, batch.num_rows, BLOCK):
+            part = batch.slice(start, BLOCK)
+            keep = [known(*found) for found in _scored(part.column(text_column).to_pylist(), langs, prototypes)]
+            yield part.filter(pa.array(keep, pa.bool_()))
+
 
+def keep_known_languages(
+    docs: DataFrame, prototypes: dict[str, np.ndarray], least: float, text_column: str = "text", beyond_chance: bool = False
+) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of ``least`` or more, as they are; no shuffle.
 
-def keep_known_languages(docs: DataFrame, prototypes: dict[str, np.ndarray], least: float, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has a language with a score of ``least`` or more, as they are; no shuffle."""
-    return docs.mapInArrow(partial(_known, model=_model(prototypes), text_column=text_column, least=least), docs.schema)
+    With ``beyond_chance``, for which ``prototypes`` must come from ``learn_prototypes``, texts that resemble their language no more
+    than random text of that length would go too (``chance``); those too short to tell stay.
+    """
+    keep = partial(_known, model=_model(prototypes), text_column=text_column, least=least, beyond_chance=beyond_chance)
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def _model(prototypes: dict[str, np.ndarray]) -> bytes:
     langs = list(prototypes)
-    return pickle.dumps((langs, np.array([prototypes[lang] for lang in langs]).reshape(len(langs), DIMENSIONS)))
+    vectors = np.array([prototypes[lang] for lang in langs]).reshape(len(langs), DIMENSIONS)
+    return pickle.dumps((langs, vectors, getattr(prototypes, "spread", {})))
 
 
 def predict_languages(docs: DataFrame, prototypes: dict[str, np.ndarray], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
