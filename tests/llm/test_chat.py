@@ -95,3 +95,37 @@ def test_long_conversation_and_empty_table(spark):
     read = chat.read_chats(chat.format_chats(chat.canonical_turns(chat.as_records(rows)))).first()
     assert len(read.read_turns) == 5000 and read.loss_text == "<x>" * 40 * 5000
     assert chat.as_records(rows.limit(0)).count() == 0
+
+
+def test_very_long_texts_and_conversations(spark):
+    """A text longer than a VARIANT takes, and a record that is read like one."""
+    text = F.concat(F.lit('a"\\\n{"x": "'), F.repeat(F.lit("<é😀"), F.lit(7_000_000)))
+    rows = [F.struct(F.lit(i).cast("long").alias("conv_id"), F.lit(t).cast("long").alias("turn"), F.lit(role).alias("role"), said.alias("text"))
+            for i, turns in enumerate([[("user", F.lit("q")), ("assistant", text)], [("bot", text), (None, F.lit(None).cast("string"))], [("user", F.lit("q\n")), ("assistant", F.lit("r"))]])
+            for t, (role, said) in enumerate(turns)]
+    rows = spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    found = chat.canonical_turns(chat.as_records(rows)).withColumn("t", F.explode("turns"))
+    same = found.select("conv_id", "layout", "t.role", F.length("t.text").alias("n"), (F.col("t.text") == text).alias("same")).collect()
+    assert sorted((r.conv_id, r.layout, r.role, r.n, r.same) for r in same) == [
+        (0, "instruction", "assistant", 21_000_011, True),
+        (0, "instruction", "user", 1, False),
+        (1, "messages", "", 0, False),
+        (1, "messages", "bot", 21_000_011, True),
+        (2, "prompt", "assistant", 1, False),
+        (2, "prompt", "user", 2, False),
+    ]
+
+
+def test_long_records_are_read_like_short_ones(spark, monkeypatch):
+    records = [
+        json.dumps({"conversations": [{"from": "human", "value": 'a\\"}]:'}, {"from": "gpt", "value": None}]}),
+        json.dumps({"messages": [{"content": "a: \"b\": 1", "role": "user"}, {"role": None, "content": "b"}]}, indent=1),
+        json.dumps({"instruction": 12, "output": True}),
+        json.dumps({"prompt": "a"}),
+        '{"prompt": "a", "completion": "b\n"}',
+        '{"prompt": "a", "completion": "b"',
+        "no json",
+    ]
+    short = _turns(spark, *records)
+    monkeypatch.setattr(chat, "LONG", 0)
+    assert _turns(spark, *records) == short

@@ -49,6 +49,16 @@ LAYOUTS = (
 )
 
 
+#: Characters from which a record's texts are not parsed as VARIANT, which takes no text of over 20,000,000 characters and nothing over 128 MiB.
+LONG = 8_000_000
+
+
+def _skeleton(record: Column) -> Column:
+    """The record with empty texts: the field paths of a long record can be read from that. Escapes in names become "?"."""
+    plain = F.regexp_replace(record, r"(?s)\\.", "?")
+    return F.regexp_replace(plain, r'("[^"]*+"\s*+:)|(")[^"]*+(")', "$1$2$3")
+
+
 def field_paths(record: Column) -> Column:
     """The nested field paths of a VARIANT record, sorted, without the types of the values at their ends."""
     paths = F.schema_of_variant(record)
@@ -67,27 +77,48 @@ def canonical_turns(records: DataFrame, record_column: str = "record", layouts:
     and roles become empty texts. An empty list of messages gives no turns. A record of no known layout, or
     a null or broken one, has null layout and turns.
     """
-    doc = F.try_parse_json(record_column)
+    record = F.col(record_column)
+    long = F.length(record) > LONG
+    doc = F.try_parse_json(F.when(long, _skeleton(record)).otherwise(record))
     records = records.withColumn("doc__", doc).withColumn("print__", fingerprint(field_paths(F.col("doc__"))))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
     for layout in layouts:
         chosen = F.col("print__") == fingerprint(F.lit(layout.fields))
         name = F.when(chosen, layout.name).otherwise(name)
-        turns = F.when(chosen, F.concat(*[_part(part) for part in layout.parts])).otherwise(turns)
-    return records.withColumn("layout", name).withColumn("turns", turns).drop("doc__", "print__")
+        read = F.when(long, _long_turns(record, layout)).otherwise(F.concat(*[_part(part) for part in layout.parts]))
+        turns = F.when(chosen, read).otherwise(turns)
+    records = records.withColumn("turns__", turns)
+    found = F.when(~long | F.col("turns__").isNotNull(), name)
+    return records.withColumn("layout", found).withColumn("turns", F.col("turns__")).drop("doc__", "print__", "turns__")
+
+
+def _long_turns(record: Column, layout: Layout) -> Column:
+    """The turns of a record of this layout, whose parts are fields of the record itself, read without VARIANT; null if it does not parse."""
+    kinds = [(p.path[2:], "string" if p.role is not None else f"array<struct<`{p.role_field}`:string,`{p.text_field}`:string>>") for p in layout.parts]
+    schema = ", ".join([f"`{field}` {kind}" for field, kind in kinds] + ["broken__ string"])
+    options = {"maxStringLen": str(2**31 - 1), "columnNameOfCorruptRecord": "broken__"}
+
+    def turns(whole: Column) -> Column:
+        parts = [_turns(part, whole[field]) for part, (field, _) in zip(layout.parts, kinds)]
+        return F.when(whole["broken__"].isNull(), F.concat(*parts))
+
+    return F.get(F.transform(F.array(F.from_json(record, schema, options)), turns), F.lit(0))
 
 
 def _part(part: Part) -> Column:
+    kind = "string" if part.role is not None else f"array<struct<`{part.role_field}`:string,`{part.text_field}`:string>>"
+    return _turns(part, F.try_variant_get("doc__", part.path, kind))
+
+
+def _turns(part: Part, value: Column) -> Column:
     if part.role is not None:
-        text = F.coalesce(F.try_variant_get("doc__", part.path, "string"), F.lit(""))
-        return F.array(F.struct(F.lit(part.role).alias("role"), text.alias("text")))
-    messages = F.try_variant_get("doc__", part.path, f"array<struct<`{part.role_field}`:string,`{part.text_field}`:string>>")
+        return F.array(F.struct(F.lit(part.role).alias("role"), F.coalesce(value, F.lit("")).alias("text")))
 
     def turn(message: Column) -> Column:
         role = F.coalesce(message[part.role_field], F.lit(""))
         return F.struct(_renamed(role, dict(part.roles)).alias("role"), F.coalesce(message[part.text_field], F.lit("")).alias("text"))
 
-    return F.transform(messages, turn)
+    return F.transform(value, turn)
 
 
 # The template: <turn ROLE>TEXT</turn> and a line break for each turn. No "<" or ">" inside a role or text survives escaping,

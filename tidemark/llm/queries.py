@@ -36,7 +36,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
-        "layout",
+        F.coalesce("layout", F.raise_error(F.lit("a conversation could not be read from its record")).cast("string")).alias("layout"),
     )
 
 
