@@ -37,6 +37,8 @@ REMOVE_SHARE = 0.9
 
 #: Size of the bit set that sifts words before they are joined; it sifts less well if there are very many terms.
 BITS = 1 << 18
+#: Bits that each word sets there, so that hardly a common word passes for another.
+HASHES = 3
 #: Items of an array that are scanned together, and characters of a text.
 BLOCK = 128
 TEXT_BLOCK = 256
@@ -252,16 +254,26 @@ def _term_filter(terms: DataFrame) -> Callable[[Column], Column]:
 
     What reaches the driver is at most BITS / 64 numbers, whatever the number of terms.
     """
-    place = F.pmod(F.xxhash64("term"), F.lit(BITS))
-    words = terms.select(F.floor(place / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int")).alias("bit"))
+
+    def places(term: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(term, F.lit(i)), F.lit(BITS)) for i in range(HASHES)]
+
+    place = F.explode(F.array(*places(F.col("term")))).alias("place")
+    word, bit = F.floor(F.col("place") / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % 64).cast("int"))
+    words = terms.select(place).select(word.alias("word"), bit.alias("bit"))
     set_ = {row["word"]: row["bits"] for row in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()}
     bits = F.from_json(F.lit(json.dumps([set_.get(i, 0) for i in range(BITS // 64)])), "array<bigint>")
 
-    def passes(term: Column) -> Column:
-        place = F.pmod(F.xxhash64(term), F.lit(BITS))
+    def has(place: Column) -> Column:
         word = F.get(bits, F.floor(place / 64).cast("int"))
         return F.call_function("shiftrightunsigned", word, (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
 
+    def passes(term: Column) -> Column:
+        first, *others = map(has, places(term))
+        for other in others:
+            first = first & other
+        return first
+
     return passes
 
 
