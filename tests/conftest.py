@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -34,16 +33,3 @@ def database(spark, tmp_path):
     spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/db'")
     yield name
     spark.sql(f"DROP DATABASE {name} CASCADE")
-
-
-def day(text: str | None) -> dt.date | None:
-    return None if text is None else dt.date.fromisoformat(text)
-
-
-def moment(text: str | None) -> dt.datetime | None:
-    return None if text is None else dt.datetime.fromisoformat(text)
-
-
-def rows(df, *order: str) -> list[tuple]:
-    """The rows as tuples, sorted on the given columns (or as they come)."""
-    return [tuple(row) for row in (df.orderBy(*order) if order else df).collect()]

@@ -3,7 +3,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import day, rows
+from helpers import day, rows
 
 from pyspark.sql import Window, functions as F
 

@@ -1,6 +1,6 @@
 import pandas as pd
 import pytest
-from conftest import day, rows
+from helpers import day, rows
 
 from tidemark.operators import cleaning
 

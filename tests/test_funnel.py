@@ -1,4 +1,4 @@
-from conftest import day, moment, rows
+from helpers import day, moment, rows
 
 from tidemark.operators import funnel
 

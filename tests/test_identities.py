@@ -1,7 +1,7 @@
 """Relations that must hold between results, whatever the data."""
 
 import pytest
-from conftest import day
+from helpers import day
 
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ import datetime as dt
 import math
 
 import pytest
-from conftest import day, rows
+from helpers import day, rows
 
 from pyspark.sql import functions as F
 

@@ -1,4 +1,4 @@
-from conftest import moment, rows
+from helpers import moment, rows
 
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 import pathlib
 
 import pytest
-from conftest import day, moment, rows
+from helpers import day, moment, rows
 
 from pyspark.sql import functions as F
 

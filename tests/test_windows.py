@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import day, rows
+from helpers import day, rows
 
 from tidemark.operators import streaks, windows
 
