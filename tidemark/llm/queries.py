@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, hyperminhash, langid, lattice, packing, ring, sanitise, stream_dedup, warc
+from tidemark.llm import bpe, chat, hyperminhash, langid, lattice, packing, ring, sanitise, spelling, stream_dedup, warc
 from tidemark.llm.store import new_folder, share_code
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -98,6 +98,15 @@ def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), 0.93)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.word_runs(_table(spark, sf_dir, "documents"), "text", "doc_id").where("length(word) >= 7")
+    h = "crc32(CAST(concat(coalesce(CAST(doc_id AS string), ''), ':', word) AS binary))"
+    slip = runs.withColumn("h", F.expr(h)).withColumn("at", F.expr("CAST(h % length(word) AS int)"))
+    without = F.expr("concat(substring(word, 1, at), substring(word, at + 2))")
+    words = slip.select(F.when(F.col("h") % 31 == 0, without).otherwise(F.col("word")).alias("word"))
+    return spelling.group_variants(spelling.count_words(words, least_length=7, least_count=2), factor=10)
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_hyperminhash_dedup": op2_hyperminhash_dedup,
@@ -109,6 +118,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_packing": op9_packing,
     "op10_lattice_dedup": op10_lattice_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 ORACLE_SQL = {
@@ -155,6 +165,30 @@ ORACLE_SQL = {
         SELECT vec_id, coalesce(n, 0) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
         FROM reached LEFT JOIN counted USING (vec_id) GROUP BY vec_id, n
     """,
+    "op11_spelling_variants": r"""
+        WITH RECURSIVE polynomial AS (SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents),
+        counted AS (SELECT doc_id, w, count(*) AS k, hex(encode(concat(doc_id, ':', w))) AS x FROM runs WHERE length(w) >= 7 GROUP BY doc_id, w),
+        hashed AS (SELECT w, k, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(0, length(x) // 2),
+            lambda i: (position(x[2 * i + 1] IN '0123456789ABCDEF') - 1) * 16 + position(x[2 * i + 2] IN '0123456789ABCDEF') - 1)),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM counted, polynomial),
+        slipped AS (SELECT CASE WHEN h % 31 = 0 THEN w[:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, k FROM hashed),
+        words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+        places AS (SELECT word, n, unnest(range(0, length(word))) AS i FROM words),
+        cut AS (SELECT DISTINCT word, n, word[:i] || word[i + 2:] AS rest FROM places),
+        holes AS (SELECT word, n, i, word[:i] || ' ' || word[i + 2:] AS hole FROM places),
+        near AS (SELECT a.word, a.n, b.word AS other, b.n AS m FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+            UNION ALL SELECT cut.word, cut.n, words.word, words.n FROM cut JOIN words ON words.word = cut.rest
+            UNION ALL SELECT words.word, words.n, cut.word, cut.n FROM cut JOIN words ON words.word = cut.rest),
+        best AS (SELECT word, n, count(*) AS n_near, max(m) AS m FROM near GROUP BY word, n),
+        top AS (SELECT word, other FROM near JOIN best USING (word) WHERE near.m = best.m QUALIFY row_number() OVER (PARTITION BY word ORDER BY other) = 1),
+        forms AS (SELECT word, other AS form, m AS form_n FROM best JOIN top USING (word) WHERE m >= 10 * n),
+        ways AS (SELECT word, word AS here, 0 AS steps FROM words UNION ALL SELECT ways.word, form, steps + 1 FROM ways JOIN forms ON forms.word = ways.here)
+        SELECT words.word, form, max_by(here, steps) AS root, words.n, coalesce(n_near, 0) AS n_near, form_n
+        FROM words JOIN ways USING (word) LEFT JOIN best USING (word) LEFT JOIN forms USING (word) GROUP BY words.word, form, words.n, n_near, form_n
+    """,
     "op4_stream_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
