@@ -1,0 +1,116 @@
+"""Periodic runs against brute force."""
+
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import pytest
+
+from tidemark.llm import periodic, queries
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(words, exponent=4, least=6):
+    runs = {}
+    for q in range(1, len(words) // exponent + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(least, exponent * q):
+                runs.setdefault((i, j + q), q)
+            i = max(j, i + 1)
+    return sorted((s, e - s, q) for (s, e), q in runs.items())
+
+
+def staying(words, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return [i not in gone for i in range(len(words))]
+
+
+def periodic_words(chance):
+    words = chance.choices(chance.choice(["a", "ab", "abc", "abcdefgh"]), k=chance.randint(0, 80))
+    if words and chance.random() < 0.6:
+        a, p = chance.randrange(len(words)), chance.randint(1, 8)
+        p = min(p, len(words) - a)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(len(words))]
+        words += chance.choices("abcz", k=chance.randint(0, 9))
+    return [word.encode() for word in words * chance.choice([1, 1, 2])]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_against_brute_force(seed):
+    chance = random.Random(seed)
+    for _ in range(200):
+        texts = [periodic_words(chance) for _ in range(chance.randint(1, 6))]
+        exponent, least = chance.choice([(4, 6), (4, 1), (5, 12)])
+        found, kept = periodic.runs_of(texts, exponent, least)
+        assert found == [brute(words, exponent, least) for words in texts]
+        assert kept == [staying(words, runs) for words, runs in zip(texts, found)]
+
+
+def test_the_grammar_gives_the_words_back():
+    chance = random.Random(9)
+    for _ in range(50):
+        words = chance.choices(range(chance.choice([1, 2, 5, 50])), k=300)
+        grammar = periodic.re_pair(periodic.np.array(words), 50)
+
+        def expand(symbol):
+            if symbol < 50:
+                return [symbol]
+            return expand(grammar.left[symbol - 50]) + expand(grammar.right[symbol - 50])
+
+        assert [x for symbol in grammar.top for x in expand(symbol)] == words
+        pairs = [pair for pair in zip(grammar.top[:-1], grammar.top[1:]) if pair[0] != pair[1]]
+        assert len(pairs) == len(set(pairs))
+        for rule, (first, n) in enumerate(zip(grammar.first, grammar.length[50:])):
+            assert expand(50 + rule) == words[first : first + n]
+
+
+def test_words_whose_plain_hashes_collide():
+    """Two strings of this kind have equal sums of powers modulo 2**64, whatever the base."""
+    thue = [bin(i).count("1") % 2 for i in range(4096)]
+    words = [b"ab"[x : x + 1] for x in thue]
+    assert periodic.runs_of([words, words * 4], 4, 6)[0] == [[], [(0, 4 * 4096, 4096)]]
+
+
+def test_a_long_text_of_few_words():
+    assert periodic.runs_of([[b"many", b"words"] * 30_000], 4, 6)[0] == [[(0, 60_000, 2)]]
+
+
+def expected(doc_id, text):
+    words = WORD.findall(text or "")
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if words and h is not None and h % 10 == 0:
+        g = h // 10
+        a = g % len(words)
+        p = 1 + (len(words) - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(len(words))]
+    runs = brute(words)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    listing = "".join("%d,%d,%d\n" % run for run in runs)
+    collapsed = " ".join(word for word, stays in zip(words, staying(words, runs)) if stays)
+    hashes = (hashlib.sha256(x.encode()).hexdigest() for x in (listing, collapsed))
+    return (doc_id, len(runs), *(best or (None, None, None)), 1000 * best[1] // best[2] if best else None, *hashes)
+
+
+def test_query_on_odd_documents(spark, tmp_path, odd_documents):
+    chance = random.Random(4)
+    texts = [b" ".join(periodic_words(chance)).decode() for _ in range(80)] + ["a b   é\x0bx" * 9, "\x1f \x85 " * 9]
+    rows = [(100 + i, text, "en", "s", 0, "c", 1, 2, 3) for i, text in enumerate(texts)]
+    docs = odd_documents.where("length(text) < 10000 OR text IS NULL").unionByName(spark.createDataFrame(rows, odd_documents.schema))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = [tuple(row) for row in queries.op13_periodic_runs(spark, str(tmp_path)).collect()]
+    assert sorted(found, key=str) == sorted((expected(row["doc_id"], row["text"]) for row in docs.collect()), key=str)
+
+
+def test_odd_documents(spark, odd_documents):
+    found = {row["doc_id"]: row for row in periodic.collapse_runs(odd_documents).collect()}
+    assert found[5]["runs"] == [(0, 40_000, 2)] and found[5]["collapsed"] == "many words"
+    assert found[1]["n_words"] == 0 and found[1]["strongest"] is None and found[1]["collapsed"] == ""
+    assert periodic.collapse_runs(odd_documents.limit(0)).collect() == []
+    assert periodic.collapse_runs(odd_documents).count() == odd_documents.count()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, hyperminhash, langid, lattice, packing, ring, sanitise, spelling, stream_dedup, warc
+from tidemark.llm import bpe, chat, hyperminhash, langid, lattice, packing, periodic, ring, sanitise, spelling, stream_dedup, warc
 from tidemark.llm.store import new_folder, share_code
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -107,6 +107,40 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.count_words(words, least_length=7, least_count=2), factor=10)
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    h = F.expr("crc32(CAST(CAST(doc_id AS string) AS binary))")
+    # Of documents whose h ends in 0, the words from a on are made to recur.
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    plan = docs.select("doc_id", F.when(h % 10 == 0, words).alias("words"), "text", F.floor(h / 10).alias("g")).withColumn("n", F.size("words"))
+    plan = plan.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))).withColumn("p", F.expr("1 + (n - a) DIV (3 + g % 8)"))
+    again = F.expr("array_join(transform(words, (word, i) -> if(i < a, word, words[int(a + (i - a) % p)])), ' ')")
+    texts = plan.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
+    found = periodic.collapse_runs(texts)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit(""))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"strongest.{name}").alias(name) for name in ("start", "length", "period")],
+        F.expr("1000 * strongest.length DIV strongest.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+CRC32_TABLE_SQL = """SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t"""
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of a text's bytes with the table ``t`` of the query above."""
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(0, length(hex(encode({text}))) // 2),
+            lambda i: (position(hex(encode({text}))[2 * i + 1] IN '0123456789ABCDEF') - 1) * 16
+            + position(hex(encode({text}))[2 * i + 2] IN '0123456789ABCDEF') - 1)),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_hyperminhash_dedup": op2_hyperminhash_dedup,
@@ -119,6 +153,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_lattice_dedup": op10_lattice_dedup,
     "op11_spelling_variants": op11_spelling_variants,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
@@ -165,15 +200,12 @@ ORACLE_SQL = {
         SELECT vec_id, coalesce(n, 0) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
         FROM reached LEFT JOIN counted USING (vec_id) GROUP BY vec_id, n
     """,
-    "op11_spelling_variants": r"""
-        WITH RECURSIVE polynomial AS (SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
-            lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+    "op11_spelling_variants": f"""
+        WITH RECURSIVE polynomial AS ({CRC32_TABLE_SQL}),
         runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
             'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents),
-        counted AS (SELECT doc_id, w, count(*) AS k, hex(encode(concat(doc_id, ':', w))) AS x FROM runs WHERE length(w) >= 7 GROUP BY doc_id, w),
-        hashed AS (SELECT w, k, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(0, length(x) // 2),
-            lambda i: (position(x[2 * i + 1] IN '0123456789ABCDEF') - 1) * 16 + position(x[2 * i + 2] IN '0123456789ABCDEF') - 1)),
-            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM counted, polynomial),
+        counted AS (SELECT doc_id, w, count(*) AS k, concat(doc_id, ':', w) AS x FROM runs WHERE length(w) >= 7 GROUP BY doc_id, w),
+        hashed AS (SELECT w, k, {_crc32_sql("x")} AS h FROM counted, polynomial),
         slipped AS (SELECT CASE WHEN h % 31 = 0 THEN w[:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, k FROM hashed),
         words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
         places AS (SELECT word, n, unnest(range(0, length(word))) AS i FROM words),
@@ -189,6 +221,28 @@ ORACLE_SQL = {
         SELECT words.word, form, max_by(here, steps) AS root, words.n, coalesce(n_near, 0) AS n_near, form_n
         FROM words JOIN ways USING (word) LEFT JOIN best USING (word) LEFT JOIN forms USING (word) GROUP BY words.word, form, words.n, n_near, form_n
     """,
+    "op13_periodic_runs": f"""
+        WITH polynomial AS ({CRC32_TABLE_SQL}),
+        numbered AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        split AS (SELECT r, doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w,
+            {_crc32_sql("CAST(doc_id AS VARCHAR)")} AS h FROM numbered, polynomial),
+        placed AS (SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM split),
+        planned AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed),
+        texts AS (SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+            THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM planned),
+        words AS (SELECT r, n, unnest(w) AS word, unnest(range(n)) AS i FROM texts),
+        equal AS (SELECT x.r, y.i - x.i AS q, x.i FROM words x JOIN words y ON x.r = y.r AND x.word = y.word AND x.i < y.i AND 4 * (y.i - x.i) <= x.n),
+        islands AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM equal),
+        stretches AS (SELECT r, q, min(i) AS s, max(i) + 1 + q AS e FROM islands GROUP BY r, q, island),
+        runs AS (SELECT r, s, e - s AS m, min(q) AS q FROM stretches WHERE e - s >= greatest(6, 4 * q) GROUP BY r, s, e),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY CAST(m AS DOUBLE) / q DESC, s, q) AS k FROM runs),
+        listed AS (SELECT r, count(*) AS n_runs, string_agg(concat(s, ',', m, ',', q, chr(10)), '' ORDER BY s, q) AS listing FROM runs GROUP BY r),
+        dropped AS (SELECT DISTINCT r, unnest(range(s + q, s + m)) AS i FROM runs),
+        kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN dropped USING (r, i) GROUP BY r)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, m AS length, q AS period, 1000 * m // q AS exponent_milli,
+            sha256(coalesce(listing, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+        FROM texts LEFT JOIN listed USING (r) LEFT JOIN kept USING (r) LEFT JOIN (SELECT * FROM ranked WHERE k = 1) USING (r)
+    """,
     "op4_stream_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
