@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, hyperminhash, langid, lattice, packing, periodic, ring, sanitise, spelling, stream_dedup, warc
+from tidemark.llm import bpe, chat, hyperminhash, langid, lattice, packing, periodic, repeats, ring, sanitise, spelling, stream_dedup, warc
 from tidemark.llm.store import new_folder, share_code
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -107,6 +107,14 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.count_words(words, least_length=7, least_count=2), factor=10)
 
 
+def op12_induced_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     h = F.expr("crc32(CAST(CAST(doc_id AS string) AS binary))")
@@ -153,6 +161,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_lattice_dedup": op10_lattice_dedup,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_induced_repeats": op12_induced_repeats,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -221,6 +230,22 @@ ORACLE_SQL = {
         SELECT words.word, form, max_by(here, steps) AS root, words.n, coalesce(n_near, 0) AS n_near, form_n
         FROM words JOIN ways USING (word) LEFT JOIN best USING (word) LEFT JOIN forms USING (word) GROUP BY words.word, form, words.n, n_near, form_n
     """,
+    "op12_induced_repeats": """
+        WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        places AS (SELECT doc_id, unnest(range(0, length(x) // 2 - 99)) AS i, x FROM texts WHERE length(x) >= 200),
+        windows AS (SELECT doc_id, i, md5(substr(x, CAST(2 * i + 1 AS BIGINT), 200)) AS w FROM places),
+        later AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, i) > 1),
+        marked AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true) AS fresh FROM later),
+        numbered AS (SELECT doc_id, i, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+        spans AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, span),
+        edges AS (SELECT doc_id, b AS a, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY a), length(x) // 2) AS b FROM spans JOIN texts USING (doc_id)
+            UNION ALL SELECT doc_id, 0, min(a) FROM spans GROUP BY doc_id),
+        kept AS (SELECT doc_id, string_agg(substr(x, CAST(2 * a + 1 AS BIGINT), CAST(2 * (b - a) AS BIGINT)), '' ORDER BY a) AS x FROM edges JOIN texts USING (doc_id) GROUP BY doc_id),
+        sums AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+        SELECT doc_id, length(texts.x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+            sha256(unhex(coalesce(kept.x, texts.x))) AS kept_sha256
+        FROM texts LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
     "op13_periodic_runs": f"""
         WITH polynomial AS ({CRC32_TABLE_SQL}),
         numbered AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
