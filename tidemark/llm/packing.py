@@ -42,7 +42,8 @@ class WordTokenizer:
     together, with a blank between them, and told apart by the ends of words.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -64,7 +65,7 @@ class WordTokenizer:
         learnt = self._learn({part for words in parts.values() for part in words})
         new = {chunk: b"".join([learnt[word] for word in words]) for chunk, words in parts.items()}
         new.update((chunk, self.ids(chunk)) for chunk in fresh if chunk not in parts)
-        self.chunks = _remember(self.chunks, new)
+        self.chunks = _remember(self.chunks, new, self.remembered)
         here.update(new)
         return [b"".join([here[chunk] for chunk in chunks]) for chunks in cut]
 
@@ -79,7 +80,7 @@ class WordTokenizer:
             starts = np.concatenate(([0], after[:-1]))
             raw = ids.tobytes()
             learnt = {word: raw[4 * a : 4 * b] for word, a, b in zip(fresh, starts.tolist(), after.tolist())}
-            self.pieces = _remember(self.pieces, learnt)
+            self.pieces = _remember(self.pieces, learnt, self.remembered)
             known.update(learnt)
         return known
 
@@ -92,21 +93,21 @@ def _recall(memory: tuple[dict, dict], key: str) -> bytes | None:
     return found
 
 
-def _remember(memory: tuple[dict, dict], items: dict[str, bytes]) -> tuple[dict, dict]:
+def _remember(memory: tuple[dict, dict], items: dict[str, bytes], remembered: int) -> tuple[dict, dict]:
     young, old = memory
-    if len(young) > REMEMBERED:
+    if len(young) > remembered:
         young, old = {}, young
     young.update((key, value) for key, value in items.items() if len(key) <= REMEMBERED_LENGTH)
     return young, old
 
 
 @lru_cache(maxsize=2)
-def word_tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+def word_tokenizer(path: str, remembered: int = REMEMBERED) -> WordTokenizer:
+    return WordTokenizer(path, remembered)
 
 
-def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
-    code = word_tokenizer(path)
+def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, remembered: int) -> Iterator[pa.RecordBatch]:
+    code = word_tokenizer(path, remembered)
     end = np.array([END_ID], dtype="<u4").tobytes()
     for batch in batches:
         for offset in range(0, batch.num_rows, 256):
@@ -124,10 +125,15 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterato
             )
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per piece of each document: doc_id, piece, start, length, ids_crc32."""
+def token_pieces(
+    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_column: str = "doc_id", text_column: str = "text", remembered: int = REMEMBERED
+) -> DataFrame:
+    """One row per piece of each document: doc_id, piece, start, length, ids_crc32.
+
+    ``remembered`` bounds what a worker keeps of words that it has seen, twice as many chunks and words at most; it changes no result.
+    """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(partial(_cut, path=tokenizer_path, capacity=capacity), PIECE_SCHEMA)
+    return rows.mapInArrow(partial(_cut, path=tokenizer_path, capacity=capacity, remembered=remembered), PIECE_SCHEMA)
 
 
 class OpenBins:
@@ -203,11 +209,19 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
     return pieces.withColumn("lane", lane).groupBy("lane").applyInPandas(partial(_pack, capacity=capacity, open_bins=open_bins), schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def pack_documents(
+    docs: DataFrame,
+    tokenizer_path: str,
+    capacity: int = CAPACITY,
+    open_bins: int = OPEN_BINS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    remembered: int = REMEMBERED,
+) -> DataFrame:
     """One row per piece of each document: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document's ids are those of the tokenizer file and the end id; only documents longer than ``capacity`` are cut.
     Null and empty texts are the end id alone. Null ids stay null, repeated rows are packed as often as they occur,
     other columns are ignored, an empty table gives no rows. sequence_id tells sequences apart and nothing else.
     """
-    return pack(token_pieces(docs, tokenizer_path, capacity, id_column, text_column), capacity, open_bins)
+    return pack(token_pieces(docs, tokenizer_path, capacity, id_column, text_column, remembered), capacity, open_bins)
