@@ -18,10 +18,21 @@ from tidemark.llm.store import share_code, written  # noqa: E402
 #: low, so apart from texts without a letter only those go that resemble no language more than random text of their length.
 LEAST_SCORE = 0.0
 
+#: Rows that a Python worker of the pipeline gets at once; documents are long, and workers share an executor's memory.
+ROWS_AT_ONCE = "1000"
+#: Words that a worker remembers while it tokenises, for the same reason.
+REMEMBERED_WORDS = 100_000
+
+
+def ready(spark: SparkSession) -> None:
+    """Sets up a session for the stages with Python workers."""
+    share_code(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in one of the languages that occur in ``lang``; others go, null and letterless ones too."""
-    share_code(spark)
+    ready(spark)
     return langid.keep_known_languages(docs, langid.learn_prototypes(docs), LEAST_SCORE, beyond_chance=True)
 
 
@@ -44,11 +55,25 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, Jaccard 0.8); documents without an id stay."""
-    share_code(spark)
-    found = hyperminhash.near_duplicates(docs, k=5, percent=80)
-    gone = found.where("doc_id IS NOT NULL AND NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near copies (five words, Jaccard 0.8), that with the smallest id (null first).
+
+    A document is a row's id and text. Where an id is null or has several texts, documents are numbered in the order of both, and the
+    numbers stand for the ids.
+    """
+    ready(spark)
+    repeated = docs.groupBy("doc_id").agg(F.count_distinct(stream_dedup.digest_of(F.coalesce("text", F.lit("")))).alias("n"))
+    if repeated.where("doc_id IS NULL OR n > 1").isEmpty():
+        found = hyperminhash.near_duplicates(docs, k=5, percent=80)
+        return docs.join(found.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    digest = stream_dedup.digest_of(F.coalesce("text", F.lit("")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), digest.alias("digest"))
+    known = rows.select("id", "digest").distinct().repartitionByRange("id", "digest").sortWithinPartitions("id", "digest")
+    numbers = written(known.withColumn("number", F.monotonically_increasing_id()), "numbers")
+    same = F.col("rows.id").eqNullSafe(F.col("numbers.id")) & (F.col("rows.digest") == F.col("numbers.digest"))
+    numbered = written(rows.alias("rows").join(numbers.alias("numbers"), same).select("row", "number", F.col("row.text").alias("text")), "numbered")
+    found = hyperminhash.near_duplicates(numbered, k=5, percent=80, id_column="number")
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("number")).distinct()
+    return numbered.join(gone, "number", "left_anti").select("row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +84,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token pieces with their places in sequences of 4096 tokens."""
-    share_code(spark)
-    return packing.pack_documents(docs, WORD_BPE)
+    ready(spark)
+    return packing.pack_documents(docs, WORD_BPE, remembered=REMEMBERED_WORDS)
 
 
 STAGES = [
