@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -25,6 +26,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Gives back the disk of shuffles that no table depends on any more.
+
+    Spark deletes their files once the driver's garbage is collected, which in a short run with many steps is too late.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def share_code(spark: SparkSession) -> None:
     """Lets Python workers import this package from where the driver has it, as in local mode.
 
