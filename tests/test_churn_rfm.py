@@ -1,13 +1,9 @@
 import datetime as dt
 
-import numpy as np
-import pandas as pd
 import pytest
 from helpers import day, rows
 
-from pyspark.sql import Window, functions as F
 
-from tidemark.functions.tiers import quantile_bin, tile
 from tidemark.operators import churn, rfm
 
 TIERS = {0: "active", 30: "active", 31: "low_risk", 60: "low_risk", 61: "medium_risk", 90: "medium_risk", 91: "high_risk", None: "active"}
@@ -51,23 +47,6 @@ def test_a_repeated_summary_row_is_found(spark):
     churn.require_unique(spark.createDataFrame([(1,), (None,), (None,)], "id long"), "id")
 
 
-@pytest.mark.parametrize("tiles", [4, 5, 7])
-def test_tile_equals_ntile(spark, tiles):
-    for n in (1, 3, 5, 7, 23, 50):
-        df = spark.range(1, n + 1)
-        both = df.select(
-            tile(F.col("id"), n, tiles).alias("ours"), F.ntile(tiles).over(Window.orderBy("id")).alias("builtin")
-        )
-        assert both.where("ours <> builtin").isEmpty()
-
-
-def test_quantile_bin_equals_qcut_of_ranks(spark):
-    for n in (2, 3, 6, 7, 11, 23, 100, 151):
-        ours = [row[0] for row in spark.range(1, n + 1).orderBy("id").select(quantile_bin(F.col("id"), n, 5)).collect()]
-        theirs = pd.qcut(pd.Series(range(1, n + 1)), 5, labels=[1, 2, 3, 4, 5]).astype(int).tolist()
-        assert ours == theirs
-
-
 @pytest.mark.parametrize("one_task_rows", [None, 2])
 def test_quantile_scores_by_hand(spark, one_task_rows):
     """Six customers; the edges of recency (10, 20, ... 60 days) lie at 20, 30, 40 and 50, a customer at an edge is below it."""

@@ -1,6 +1,6 @@
 from helpers import day, moment, rows
 
-from tidemark.operators import funnel
+from tidemark.operators import bloom, funnel
 
 
 def ids(spark, *values):
@@ -62,6 +62,19 @@ def test_a_channel_in_the_middle_of_a_path_counts_zero(spark):
     assert result == [("ad", 1, 1), ("call", 1, 1), ("mail", 0, 0)]
 
 
+def test_touches_are_sifted_before_they_are_moved(spark):
+    """Any size of filter gives the same result, and a full-size one lets hardly any other customer's touches pass."""
+    touches = spark.range(20_000).selectExpr("id % 997 AS customer_id", "concat('c', id % 5) AS channel", "id * 7919 % 20011 AS at", "id")
+    converted = spark.range(0, 997, 50).selectExpr("id AS customer_id")
+    results = [rows(funnel.touch_attribution(touches, converted, "customer_id", "channel", "at", ["id"], words)) for words in (1, 7, 1 << 20)]
+    assert results[0] == results[1] == results[2]
+    plain = touches.join(converted, "customer_id", "left_semi")
+    assert results[0] == rows(funnel.touch_attribution(plain, converted, "customer_id", "channel", "at", ["id"]))
+    words = bloom.filter_words(converted.count())
+    passed = bloom.sift(touches, ["customer_id"], bloom.bloom_filter(converted, ["customer_id"], words), words)
+    assert plain.count() <= passed.count() < 2 * plain.count()
+
+
 def test_listed_funnel_with_absent_stages(spark):
     df = spark.createDataFrame(
         [("a", 1), ("a", 2), ("a", 2), ("a", 3), ("c", 1), ("d", 1), ("d", 2), ("other", 9)], "stage string, customer_id long"

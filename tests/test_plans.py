@@ -68,8 +68,11 @@ def test_sliced_ranking_has_no_single_task_window(spark, monkeypatch):
     quantiles = rfm.rfm_by_quantile(transactions, "customer_id", "transaction_date", "amount", inputs.AS_OF, one_task_rows=10)
     spend = windows.spend_quartiles(inputs.customer_spend(spark, SF_DIR), "customer_id", "total_spend", "segment", one_task_rows=10)
     plans += [plan(df) for df in (scores, quantiles, spend)]
-    assert len(plans) > 8
+    assert len(plans) >= 6
     assert not any("SinglePartition" in text for text in plans)
+    # Scores come from cuts: customers are neither sorted nor moved once they are added up.
+    for scored in (scores, quantiles):
+        assert shuffles(scored) == 0 and "Sort" not in plan(scored) and "Window" not in plan(scored)
 
 
 def test_top_n_drops_rows_before_the_shuffle(spark):
@@ -107,6 +110,14 @@ def test_events_are_read_once_for_sessions(spark):
     assert len(re.findall(r"FileScan parquet", text)) - len(re.findall(r"ReusedExchange", text)) <= 1
 
 
+def test_attribution_sifts_below_the_aggregate(spark):
+    """In the plan's text a child stands below its parent: the filter's join lies under the partial aggregate of the touches."""
+    text = plan(QUERIES["f5_touch_attribution"](spark, SF_DIR))
+    aggregates = [match.start() for match in re.finditer("partial_min", text)]
+    assert aggregates and text.find("_word", aggregates[0]) > aggregates[0]
+    assert "BroadcastHashJoin" in text[aggregates[0] :]
+
+
 def test_two_distinct_counts_do_not_triple_the_rows(spark):
     assert "Expand" not in plan(QUERIES["r1_executive_summary"](spark, SF_DIR))
 

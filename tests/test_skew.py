@@ -137,12 +137,3 @@ def test_a_third_of_all_events_from_one_customer(spark):
     for dedupe, expected in ((True, days.distinct().count()), (False, 40000)):
         streak = streaks.activity_streaks(days, "c", "d", dedupe)
         assert streak.agg(F.sum("streak_length_days")).first()[0] == expected
-
-
-@pytest.mark.parametrize("one_task_rows", [1000, 10])
-def test_global_position_equals_row_number(spark, one_task_rows):
-    df = spark.range(500).selectExpr("id", "id * 7919 % 13 AS v")
-    placed = ordering.global_position(df, [F.col("v").desc(), F.col("id")], 500, "p", one_task_rows)
-    ours = [row.id for row in placed.orderBy("p").collect()]
-    assert ours == [row.id for row in df.orderBy(F.desc("v"), "id").collect()]
-    assert sorted(row.p for row in placed.collect()) == list(range(1, 501))

@@ -316,6 +316,14 @@ def _all() -> dict[str, str]:
         SELECT stage_name, round(avg(days), 1) AS avg_days, min(days) AS min_days, max(days) AS max_days,
             min(days) FILTER (rn * 2 >= n) AS median_days, min(days) FILTER (rn * 10 >= n * 9) AS p90_days
         FROM placed GROUP BY 1"""
+    sql["f3_bucketed_times"] = """WITH spent AS (SELECT l_returnflag AS stage_name,
+            (l_shipdate::DATE - o_orderdate::DATE) * 86400 AS v FROM lineitem JOIN orders
+            ON l_orderkey = o_orderkey WHERE l_shipdate::DATE >= o_orderdate::DATE AND l_linestatus = 'F'),
+        cut AS (SELECT stage_name, v, CASE WHEN v < 256 THEN 1 ELSE CAST(pow(2, floor(log2(v)) - 7) AS BIGINT) END AS width FROM spent),
+        placed AS (SELECT stage_name, v // width * width AS low, v // width * width + width - 1 AS high,
+            row_number() OVER (PARTITION BY stage_name ORDER BY v) AS rn, count(*) OVER (PARTITION BY stage_name) AS n FROM cut)
+        SELECT stage_name, n, min(low) FILTER (rn * 2 >= n) AS median_low, min(high) FILTER (rn * 2 >= n) AS median_high,
+            min(low) FILTER (rn * 10 >= n * 9) AS p90_low, min(high) FILTER (rn * 10 >= n * 9) AS p90_high FROM placed GROUP BY stage_name, n"""
     reached = {"leads": 1, "demos": 2, "proposals": 3, "closed": 4}
     counts = ", ".join(
         f"count(DISTINCT CASE WHEN stage >= {n} THEN customer_id END) AS {name}" for name, n in reached.items()
@@ -333,6 +341,7 @@ def _all() -> dict[str, str]:
     sql["c5_transform_funnel"] = sql["f6_listed_funnel"]
 
     sql["k1_monthly_retention"] = given("purchases", also=retention("FROM purchases")) + " FROM kept"
+    sql["k1_incremental_retention"] = sql["k1_monthly_retention"]
     sql["k2_cutover_retention"] = given("people") + f""", status AS (SELECT customer_id,
         last_order >= {AS_OF} - 180 AS seen FROM dates WHERE last_order >= {AS_OF} - 730),
         grouped AS (SELECT customer_id, CASE WHEN signup_date < DATE '1995-07-01' THEN 'pre_migration'
@@ -448,6 +457,8 @@ def _all() -> dict[str, str]:
     sql["s14_event_totals"] = given("raw_events") + f""" SELECT event_type, region, count(*) AS event_count,
         count(DISTINCT customer_id) AS unique_customers, {msum('event_value')} AS total_value FROM raw_events
         WHERE event_date BETWEEN '2024-01-01' AND '2024-01-31' GROUP BY ALL"""
+    sql["s14_distinct_from_sketches"] = given("raw_events") + """ SELECT region, count(DISTINCT customer_id) AS distinct_values
+        FROM raw_events WHERE event_date BETWEEN '2024-01-01' AND '2024-01-31' GROUP BY region"""
     sql["s15_write_orc"] = given("transactions") + """ SELECT transaction_id, status, amount,
         CASE WHEN status = 'open' THEN 'hot' ELSE 'cold' END AS tier FROM transactions"""
     sql["s16_compact"] = given("transactions") + " SELECT transaction_id, customer_id, amount FROM transactions"

@@ -12,7 +12,7 @@ from tidemark.catalog import inputs
 from tidemark.catalog.inputs import AS_OF, CUTOVER
 from tidemark.functions.dates import month_start
 from tidemark.functions.tiers import CHURN_TIERS
-from tidemark.operators import churn, cleaning, cohorts, funnel, rfm, rollups, sessions, streaks, windows
+from tidemark.operators import churn, cleaning, cohorts, funnel, retention_state, rfm, rollups, sessions, sketches, streaks, windows
 from tidemark.plans import lifecycle_job, reports
 from tidemark.session import scratch_path, settle
 from tidemark.sources import export, extracts, layout, warehouse
@@ -160,6 +160,15 @@ def f3_time_in_stage(spark, d):
     return funnel.time_in_stage(rows, "stage_name", "stage_enter_date", "stage_exit_date")
 
 
+@query
+def f3_bucketed_times(spark, d):
+    """Bounds of the median and the 90th percentile in seconds, from buckets kept per stage and day."""
+    rows = inputs.stage_transitions(spark, d)
+    seconds = F.datediff("stage_exit_date", "stage_enter_date").cast("bigint") * 86400
+    daily = settle(sketches.value_buckets(rows, ["stage_name", "stage_enter_date"], seconds))
+    return sketches.quantile_bounds(daily, ["stage_name"], {"median": 50, "p90": 90})
+
+
 @query
 def f4_conversion_by_segment(spark, d):
     return funnel.conversion_by_segment(inputs.customer_funnel_stages(spark, d), "segment", "customer_id", "stage")
@@ -191,6 +200,16 @@ def k1_monthly_retention(spark, d):
     return cohorts.monthly_retention(inputs.purchases(spark, d), "customer_id", "purchase_date")
 
 
+@query
+def k1_incremental_retention(spark, d):
+    """The state after the purchases of four periods, the last first and one of them twice."""
+    table, purchases = f"{_database(spark)}.retention_state", inputs.purchases(spark, d)
+    period = F.coalesce(F.pmod(F.year("purchase_date"), F.lit(4)), F.lit(0))
+    for part in (3, 1, 0, 2, 1):
+        retention_state.take_in(spark, table, purchases.where(period == part), "customer_id", "purchase_date")
+    return retention_state.retention_so_far(spark, table)
+
+
 @query
 def k2_cutover_retention(spark, d):
     return cohorts.cutover_retention(
@@ -538,6 +557,15 @@ def s14_event_totals(spark, d):
     return rollups.event_totals(spark.table(_event_table(spark, d)), "2024-01-01", "2024-01-31")
 
 
+@query
+def s14_distinct_from_sketches(spark, d):
+    """Customers of January by region, from sketches kept per day and region."""
+    events = inputs.dated_customer_events(spark, d)
+    daily = settle(sketches.distinct_sketches(events, ["event_date", "region"], "customer_id"))
+    january = daily.where("event_date BETWEEN '2024-01-01' AND '2024-01-31'")
+    return sketches.distinct_over(january, ["region"])
+
+
 @query
 def s15_write_orc(spark, d):
     paths = {tier: _fresh(spark, f"orc-{tier}") for tier in layout.CODECS}

@@ -35,20 +35,3 @@ def by_floor(total: Column, floors: Sequence[tuple[int, str]], remainder: str) -
     for floor, name in floors[1:]:
         branch = branch.when(total >= floor, name)
     return branch.otherwise(remainder)
-
-
-def tile(position: Column, rows: int, tiles: int) -> Column:
-    """NTILE from a 1-based position: the first ``rows % tiles`` tiles hold one row more."""
-    small, larger = divmod(rows, tiles)
-    in_larger = larger * (small + 1)
-    first = F.floor((position - 1) / F.lit(small + 1)) + 1
-    if small == 0:
-        return first.cast("int")
-    rest = F.floor((position - 1 - in_larger) / F.lit(small)) + larger + 1
-    return F.when(position <= in_larger, first).otherwise(rest).cast("int")
-
-
-def quantile_bin(position: Column, rows: int, bins: int) -> Column:
-    """Equal-width bin of a 1-based position between 1 and ``rows``, closed on the right."""
-    step = F.ceil((position - 1) * bins / F.lit(rows - 1))
-    return F.greatest(F.lit(1), step).cast("int")

@@ -1,7 +1,6 @@
 """Cohorts: monthly retention, before/after a cut-over, feature adoption, billing cycle.
 
-Every operator first reduces its input to one row per customer and month (or day), combined before
-the shuffle, so a customer never has more rows than the calendar has months (or days).
+Retention reduces its input to one row per customer, whose active months (or days) are bits that are combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -10,32 +9,34 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.dates import day, month_start, months_apart
+from tidemark.functions.dates import month_start, months_apart
 from tidemark.functions.measures import money_sum, percent
+from tidemark.operators.bitmaps import active_between, active_numbers, activity_bitmaps, day_number, month_number, month_of
 from tidemark.session import settle
 
 
 def _cohort_activity(df: DataFrame, customer: str, date: str) -> DataFrame:
-    """Active customers per cohort month and number of months since."""
-    months = (
-        df.where(F.col(customer).isNotNull()).select(customer, month_start(date).alias("_month")).distinct()
-    )
-    first = F.min("_month").over(Window.partitionBy(customer))
-    return (
-        months.withColumn("cohort_month", first)
-        .groupBy("cohort_month", months_apart("_month", "cohort_month").alias("period"))
-        .agg(F.count(F.lit(1)).alias("active_customers"))
-    )
+    """Active customers per cohort month and number of months since (NULL for rows without a date)."""
+    return cohort_activity(activity_bitmaps(df.where(F.col(customer).isNotNull()), customer, month_number(date)))
+
+
+def cohort_activity(bitmaps: DataFrame) -> DataFrame:
+    """The same from month bitmaps of customers, as ``activity_bitmaps`` gives and ``retention_state`` keeps them."""
+    periods = F.transform(active_numbers(), lambda number: number - F.col("first"))
+    undated = F.when(F.col("undated"), F.array(F.lit(None).cast("int"))).otherwise(F.array().cast("array<int>"))
+    rows = bitmaps.select(month_of("first").alias("cohort_month"), F.explode(F.concat(periods, undated)).alias("period"))
+    return rows.groupBy("cohort_month", "period").agg(F.count(F.lit(1)).alias("active_customers"))
 
 
 def monthly_retention(df: DataFrame, customer: str, date: str) -> DataFrame:
     """Retention per cohort month and period, in long form."""
+    return retention_of(_cohort_activity(df, customer, date))
+
+
+def retention_of(activity: DataFrame) -> DataFrame:
+    """Retention from the counts of ``cohort_activity``."""
     base = F.first("active_customers").over(Window.partitionBy("cohort_month").orderBy("period"))
-    return (
-        _cohort_activity(df, customer, date)
-        .withColumn("retention_pct", percent(F.col("active_customers"), base, 1))
-        .orderBy("cohort_month", "period")
-    )
+    return activity.withColumn("retention_pct", percent(F.col("active_customers"), base, 1)).orderBy("cohort_month", "period")
 
 
 def retention_matrix(df: DataFrame, customer: str, date: str, most_periods: int = 1200) -> DataFrame:
@@ -160,24 +161,16 @@ def billing_cohorts(
 
 def day_window_retention(df: DataFrame, customer: str, date: str, width: int = 30, windows: int = 3) -> DataFrame:
     """Share of each cohort month's customers active again in days (0, 30], (30, 60] and (60, 90]."""
-    days = (
-        df.where(F.col(customer).isNotNull() & F.col(date).isNotNull())
-        .select(customer, day(date).alias("_day"))
-        .distinct()
-    )
-    first = F.min("_day").over(Window.partitionBy(customer))
-    since = F.datediff("_day", "_first")
+    dated = df.where(F.col(customer).isNotNull() & F.col(date).isNotNull())
+    people = activity_bitmaps(dated, customer, day_number(date))
 
     def active_within(index: int) -> Column:
-        return F.max(((since > width * index) & (since <= width * (index + 1))).cast("int"))
+        return active_between(F.col("first") + width * index + 1, F.col("first") + width * (index + 1)).cast("int")
 
     ends = [width * (index + 1) for index in range(windows)]
-    per_customer = (
-        days.withColumn("_first", first)
-        .groupBy(customer, "_first")
-        .agg(*[active_within(index).alias(f"_in_{end}") for index, end in enumerate(ends)])
-    )
-    counted = per_customer.groupBy(month_start("_first").alias("cohort_month")).agg(
+    cohort = month_start(F.date_from_unix_date("first"))
+    per_customer = people.select(cohort.alias("cohort_month"), *[active_within(index).alias(f"_in_{end}") for index, end in enumerate(ends)])
+    counted = per_customer.groupBy("cohort_month").agg(
         F.count(F.lit(1)).alias("cohort_size"), *[F.sum(f"_in_{end}").alias(f"retained_{end}d") for end in ends]
     )
     rates = {f"retention_{end}d_pct": percent(F.col(f"retained_{end}d"), F.col("cohort_size"), 1) for end in ends}

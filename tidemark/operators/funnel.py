@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.measures import percent
+from tidemark.operators.bloom import MOST_WORDS, bloom_filter, filter_words, sift
+from tidemark.session import settle
 
 
 def stage_conversion(stages: Sequence[tuple[str, DataFrame]], customer: str) -> DataFrame:
@@ -105,16 +107,20 @@ def touch_attribution(
     channel: str,
     touched_at: str,
     tie_breakers: Sequence[str] = (),
+    most_words: int = MOST_WORDS,
 ) -> DataFrame:
     """First- and last-touch conversions of every channel that a converted customer met.
 
-    Touches shrink to the first and last of each customer and channel before anything is joined, so
-    a customer then has no more rows than there are channels.
+    Touches of customers who did not convert are sifted out where they are read, by a Bloom filter of at most ``most_words`` words;
+    the few that pass it go with the join. What is left shrinks to the first and last of each customer and channel before
+    anything is joined, so a customer then has no more rows than there are channels.
     """
     moment = F.struct(touched_at, *tie_breakers)
-    per_channel = touches.groupBy(customer, channel).agg(F.min(moment).alias("_first"), F.max(moment).alias("_last"))
-    buyers = converted.select(customer).distinct()
-    met = per_channel.join(buyers, customer, "left_semi")
+    buyers = settle(converted.where(F.col(customer).isNotNull()).select(customer).distinct())
+    words = filter_words(buyers.count(), most_words)
+    near = sift(touches, [customer], bloom_filter(buyers, [customer], words), words)
+    per_channel = near.groupBy(customer, channel).agg(F.min(moment).alias("_first"), F.max(moment).alias("_last"))
+    met = per_channel.join(buyers, customer)
     path = Window.partitionBy(customer)
     first, last = F.struct("_first", channel), F.struct("_last", channel)
     flagged = met.select(

@@ -8,7 +8,6 @@ about the pieces before it is one small row per slice.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -43,27 +42,6 @@ def ordered_slices(df: DataFrame, order: Sequence[Column], slices: int) -> DataF
     ).drop("_at")
 
 
-def global_position(
-    df: DataFrame, order: Sequence[Column], rows: int, out: str, one_task_rows: int | None = None
-) -> DataFrame:
-    """``df``, which has ``rows`` rows, with the 1-based place of each in the order.
-
-    Up to ``one_task_rows`` rows (or else ``ONE_TASK_BYTES``) are ranked by a plain window; more go through slices
-    of that size.
-    """
-    one_task_rows = rows_in_one_task(df, one_task_rows)
-    if rows <= one_task_rows:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    slices = ordered_slices(df, order, ceil(rows / one_task_rows))
-    counts = slices.groupBy("_slice").count().orderBy("_slice").collect()  # one row per slice
-    starts = [0, *accumulate(row["count"] for row in counts)]
-    offsets = df.sparkSession.createDataFrame(
-        [(row["_slice"], start) for row, start in zip(counts, starts)], "_slice bigint, _start bigint"
-    )
-    placed = slices.join(F.broadcast(offsets), "_slice")
-    return placed.withColumn(out, F.col("_start") + F.col("_place") + 1).drop("_slice", "_place", "_start")
-
-
 def ranked_in_slices(
     split: Split,
     keys: Sequence[str],

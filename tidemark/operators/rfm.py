@@ -1,7 +1,8 @@
 """Recency, frequency and monetary scores.
 
-Transactions shrink to one row per customer, which is kept in reliable storage because each score
-ranks all customers anew.
+Transactions shrink to one row per customer, which is kept in reliable storage because it is read several times: the customers
+at the cuts between scores are found by counting, for all scores at once, and each row is then held against them. Customers are
+not sorted.
 """
 
 from __future__ import annotations
@@ -19,10 +20,9 @@ from tidemark.functions.tiers import (
     QUANTILE_REMAINDER,
     QUANTILE_SEGMENTS,
     by_floor,
-    quantile_bin,
-    tile,
 )
-from tidemark.operators.ordering import global_position
+from tidemark.operators.ordering import rows_in_one_task
+from tidemark.operators.selection import Term, ntile_ends, number_of_tile, quantile_ends, rows_at
 from tidemark.session import settle
 
 TILES = 5
@@ -56,16 +56,19 @@ def rfm_by_ntile(
             money_sum(amount).alias("monetary"),
         )
     )
+    id_last = Term(customer)
     best_first = {
-        "r_score": F.col("recency_days").asc_nulls_first(),
-        "f_score": F.col("frequency").desc_nulls_last(),
-        "m_score": F.col("monetary").desc_nulls_last(),
+        "r_score": [Term("recency_days"), id_last],
+        "f_score": [Term("frequency", descending=True), id_last],
+        "m_score": [Term("monetary", descending=True), id_last],
     }
-    scored, rows = people, people.count()
-    for score, best in best_first.items():
-        scored = global_position(scored, [best, F.col(customer)], rows, "_position", one_task_rows)
-        tiles = tile(F.col("_position"), rows, TILES)
-        scored = scored.withColumn(score, tiles if polarity == "as_written" else TILES + 1 - tiles).drop("_position")
+    rows = people.count()
+    ends = ntile_ends(rows, TILES)
+    cuts = rows_at(people, {score: (order, ends) for score, order in best_first.items()}, rows, rows_in_one_task(people, one_task_rows))
+    scored = people
+    for score, order in best_first.items():
+        tiles = number_of_tile(people, order, cuts[score])
+        scored = scored.withColumn(score, tiles if polarity == "as_written" else TILES + 1 - tiles)
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     result = scored.select(
         customer,
@@ -105,9 +108,11 @@ def rfm_by_quantile(
         )
     )
     scored, rows = people.withColumn("r_score", _recency_score(people, "recency_days")), people.count()
-    for score, measure in {"f_score": "frequency", "m_score": "monetary"}.items():
-        scored = global_position(scored, [F.col(measure), F.col(customer)], rows, "_position", one_task_rows)
-        scored = scored.withColumn(score, quantile_bin(F.col("_position"), rows, TILES)).drop("_position")
+    orders = {"f_score": [Term("frequency"), Term(customer)], "m_score": [Term("monetary"), Term(customer)]}
+    ends = quantile_ends(rows, TILES)
+    cuts = rows_at(people, {score: (order, ends) for score, order in orders.items()}, rows, rows_in_one_task(people, one_task_rows))
+    for score, order in orders.items():
+        scored = scored.withColumn(score, number_of_tile(people, order, cuts[score]))
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     segment = by_floor(F.col("rfm_total"), QUANTILE_SEGMENTS, QUANTILE_REMAINDER)
     return scored.withColumn("rfm_total", total).withColumn(

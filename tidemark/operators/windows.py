@@ -8,15 +8,14 @@ from math import ceil
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.measures import exact_part, rest_part, total
-from tidemark.functions.tiers import tile
 from tidemark.operators.ordering import (
-    global_position,
     ordered_slices,
     ranked_in_slices,
     rows_in_one_task,
     running_sum_in_slices,
 )
 from tidemark.operators.skew import BROADCAST_BYTES, HOT_ROWS, Split, match, row_bytes, split_hot
+from tidemark.operators.selection import Term, ntile_ends, number_of_tile, rows_at
 from tidemark.session import settle
 
 
@@ -114,13 +113,16 @@ def spend_quartiles(
     tiles: int = 4,
     one_task_rows: int | None = None,
 ) -> DataFrame:
-    """Spend tier over all customers (1 = highest) and the median spend of the customer's segment."""
-    base = settle(df.select(customer, spend, segment))
+    """Spend tier over all customers (1 = highest) and the median spend of the customer's segment.
+
+    The rows at the cuts between tiers are found by counting; rows that agree on spend and customer are told apart by their place.
+    """
+    base = settle(df.select(customer, spend, segment).withColumn("_row", F.monotonically_increasing_id()))
     one_task_rows = rows_in_one_task(base, one_task_rows)
-    highest_first = [F.col(spend).desc_nulls_last(), F.col(customer)]
+    highest_first = [Term(spend, descending=True), Term(customer), Term("_row")]
     rows = base.count()
-    placed = global_position(base, highest_first, rows, "_position", one_task_rows)
-    tiered = placed.withColumn("spend_quartile", tile(F.col("_position"), rows, tiles))
+    cuts = rows_at(base, {"tier": (highest_first, ntile_ends(rows, tiles))}, rows, one_task_rows)
+    tiered = base.withColumn("spend_quartile", number_of_tile(base, highest_first, cuts["tier"])).drop("_row")
     split = split_hot(base, [segment], one_task_rows)
     medians = settle(split.cold.groupBy(segment).agg(F.median(spend).alias("median_spend_by_segment")))
     if medians.count() * row_bytes(medians) <= BROADCAST_BYTES:  # one row per segment; few segments have many customers
