@@ -116,16 +116,55 @@ def test_very_long_texts_and_conversations(spark):
     ]
 
 
-def test_long_records_are_read_like_short_ones(spark, monkeypatch):
-    records = [
-        json.dumps({"conversations": [{"from": "human", "value": 'a\\"}]:'}, {"from": "gpt", "value": None}]}),
-        json.dumps({"messages": [{"content": "a: \"b\": 1", "role": "user"}, {"role": None, "content": "b"}]}, indent=1),
-        json.dumps({"instruction": 12, "output": True}),
-        json.dumps({"prompt": "a"}),
-        '{"prompt": "a", "completion": "b\n"}',
-        '{"prompt": "a", "completion": "b"',
-        "no json",
+def test_values_are_read_alike_at_every_length(spark):
+    """Numbers, truth values, escapes and nested values, in records below and above what a VARIANT takes."""
+    for value, text in (("1.0", "1.0"), ("1.50", "1.5"), ("12", "12"), ("true", "true"), ('"a\\u00e9\\n\\""', 'aé\n"'), ('{"x": [1, "b"]}', None)):
+        short = _turns(spark, '{"prompt": %s, "completion": "x"}' % value)
+        if text is not None:
+            assert short == [("prompt", [("user", text), ("assistant", "x")])]
+        else:
+            assert short == [(None, None)]
+    record = F.concat(F.lit('{"prompt": 1.50, "id": 7, "completion": "'), F.repeat(F.lit("y"), F.lit(21_000_000)), F.lit('"}'))
+    long = chat.canonical_turns(spark.range(1).select(record.alias("record"))).first()
+    assert long.layout == "prompt" and long.turns[0].text == "1.5" and len(long.turns[1].text) == 21_000_000
+
+
+def test_layouts_with_more_than_the_plain_fields(spark):
+    pair = [("user", "a"), ("assistant", "b")]
+    messages = [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]
+    told = [{"from": "human", "value": "a"}, {"from": "gpt", "value": "b"}]
+    cases = [
+        ({"id": 1, "messages": [{**m, "weight": 0.5, "calls": [{"name": "f", "args": {"x": [1]}}]} for m in messages], "meta": {"source": "s", "tags": ["t"]}}, "messages", pair),
+        ({"messages": []}, "messages", []),
+        ({"conversations": [], "id": 3}, "conversations", []),
+        ({"messages": messages, "system": "s"}, "messages_system", [("system", "s"), *pair]),
+        ({"system": None, "conversations": told}, "conversations_system", [("system", ""), *pair]),
+        ({"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "text", "text": "c"}]}, {"role": "assistant", "content": [{"text": "b"}]}]},
+         "messages_pieces", [("user", "a\nc"), ("assistant", "b")]),
+        ({"data": {"messages": messages, "lang": "en"}, "split": "train"}, "messages_inside", pair),
+        ({"instruction": "a", "input": "c", "output": "b"}, "instruction_input", [("user", "a\n\nc"), ("assistant", "b")]),
+        ({"instruction": "a", "input": "", "output": "b", "id": "7", "score": 1.5}, "instruction_input", pair),
+        ({"prompt": "a", "completion": "b", "meta": {"prompt": "no"}}, "prompt", pair),
+        ({"prompt": "a", "completion": "b", "a list": [[1], [2]], "x": [{"role": "r"}]}, "prompt", pair),
+        ({"messages": [{"role": "user"}, {"role": "assistant", "content": "b", "name": "n"}]}, "messages", [("user", ""), ("assistant", "b")]),
+        ({"prompt": "a", "completion": "b", "output": "c"}, None, None),  # two answers: no layout has both
+        ({"role": "user", "content": "a"}, None, None),
     ]
-    short = _turns(spark, *records)
-    monkeypatch.setattr(chat, "LONG", 0)
-    assert _turns(spark, *records) == short
+    assert _turns(spark, *[json.dumps(record) for record, _, _ in cases]) == [(name, turns) for _, name, turns in cases]
+    assert _turns(spark, '{"prompt": "a", "prompt": "c", "completion": "b"}', '{"\\u0070rompt": "a", "completion": "b"}') == [(None, None)] * 2
+
+
+def test_other_columns_stay(spark):
+    record = json.dumps({"prompt": "a", "completion": "b"})
+    names = ["work_", "WORK__", "turns__", "made__", "read__", "doc__", "record"]
+    rows = spark.createDataFrame([("1", "2", "3", "4", "5", "6", record)], ", ".join(f"`{name}` string" for name in names))
+    done = chat.read_chats(chat.format_chats(chat.canonical_turns(rows.withColumns({"layout": F.lit(9), "loss_text": F.lit(8)}))))
+    assert sorted(done.columns) == sorted([*names, "layout", "turns", "formatted", "loss_spans", "read_turns", "loss_text"])
+    row = done.first()
+    assert [row[name] for name in names[:6]] == ["1", "2", "3", "4", "5", "6"]
+    assert (row["layout"], row["loss_text"]) == ("prompt", "b")
+
+
+def test_rows_without_a_conversation_are_one(spark):
+    rows = spark.createDataFrame([(None, 0, "user", "a", 1), (None, 1, "assistant", "b", 2)], "conv_id long, turn long, role string, text string, t int")
+    assert [(r.conv_id, r.layout) for r in chat.canonical_turns(chat.as_records(rows)).collect()] == [(None, "instruction")]
