@@ -83,8 +83,10 @@ def test_sums_of_decimals_and_whole_numbers(spark):
     assert rows(df.agg(money_sum("a"), money_sum("d"), money_avg("a"))) == [(4.0, 0.75, 2.0)]
 
 
-def test_a_wrong_date_raises_instead_of_losing_periods(spark):
-    df = spark.createDataFrame([(1, day("2024-01-01")), (1, day("2024-05-01"))], "id long, d date")
+def test_a_wrong_date_loses_no_period(spark):
+    df = spark.createDataFrame([(1, day("2024-01-01")), (1, day("2024-05-01")), (2, day("2024-01-09"))], "id long, d date")
     assert cohorts.retention_matrix(df, "id", "d").columns == ["cohort_month", *[f"period_{n}" for n in range(5)]]
-    with pytest.raises(ValueError, match="span"):
-        cohorts.retention_matrix(df.unionByName(spark.createDataFrame([(1, day("0024-01-01"))], "id long, d date")), "id", "d")
+    wrong = spark.createDataFrame([(1, day("0024-01-01")), (2, day("9999-02-01"))], "id long, d date")
+    matrix = cohorts.retention_matrix(df.unionByName(wrong), "id", "d")
+    assert matrix.columns == ["cohort_month", "period_0", "period_24000", "period_24004", "period_95701"]
+    assert rows(matrix) == [(day("0024-01-01"), 100.0, 100.0, 100.0, None), (day("2024-01-01"), 100.0, None, None, 100.0)]

@@ -42,19 +42,20 @@ def retention_of(activity: DataFrame) -> DataFrame:
 def retention_matrix(df: DataFrame, customer: str, date: str, most_periods: int = 1200) -> DataFrame:
     """Retention with one row per cohort month and one column per period; NULL where nobody was active.
 
-    The columns cover the whole span of the data, which is read from the aggregated months. A span of more than
-    ``most_periods`` months (a century), as a wrong date makes it, raises: no period is ever left out.
+    The columns cover the whole span of the data, which is read from the aggregated months. Where that is more than
+    ``most_periods`` months (a century), as a wrong date makes it, there are columns only for the periods that occur: no period
+    of any customer is ever left out.
     """
     dated = df.where(F.col(date).isNotNull() & F.col(customer).isNotNull())
     activity = settle(_cohort_activity(dated, customer, date))
     month = F.add_months("cohort_month", F.col("period"))
     span = activity.agg(months_apart(F.max(month), F.min("cohort_month")).alias("last")).first()
     last = span["last"] or 0
-    if last > most_periods:
-        raise ValueError(f"the dates span {last} months; is one of them wrong?")
     base = F.max(F.when(F.col("period") == 0, F.col("active_customers"))).over(Window.partitionBy("cohort_month"))
     rates = activity.withColumn("retention_pct", percent(F.col("active_customers"), base, 1))
     periods = list(range(last + 1))
+    if last > most_periods:
+        periods = sorted(row["period"] for row in activity.select("period").distinct().collect())
     matrix = rates.groupBy("cohort_month").pivot("period", periods).agg(F.first("retention_pct"))
     return matrix.withColumnsRenamed({str(period): f"period_{period}" for period in periods}).orderBy("cohort_month")
 
