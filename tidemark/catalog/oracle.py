@@ -442,6 +442,8 @@ def _all() -> dict[str, str]:
     sql["s8_export_csv"] = given("monthly") + """ SELECT 'revenue' AS result, strftime(month, '%Y-%m-%d') AS day,
         revenue AS value FROM monthly UNION ALL SELECT 'activity', strftime(ts, '%Y-%m-%d'),
         CAST(count(DISTINCT user_id) AS DOUBLE) FROM events GROUP BY 2"""
+    sql["s7_published_results"] = given("monthly", "daily") + """ SELECT 'revenue' AS result, month AS day, revenue AS value FROM monthly
+        UNION ALL SELECT 'activity', event_date, CAST(daily_active_users AS DOUBLE) FROM daily"""
     sql["s9_codec"] = "SELECT unnest(['loaded', 'compacted']) AS state, 'snappy' AS codec"
     sql["s2_load_keeps_layout"] = given("transactions") + """ SELECT status, count(*) AS n,
         'ORC EXTERNAL 4 [`transaction_id`] snappy True status=completed,status=open,status=pending' AS layout

@@ -15,7 +15,7 @@ from tidemark.functions.tiers import CHURN_TIERS
 from tidemark.operators import churn, cleaning, cohorts, funnel, retention_state, rfm, rollups, sessions, sketches, streaks, windows
 from tidemark.plans import lifecycle_job, reports
 from tidemark.session import scratch_path, settle
-from tidemark.sources import export, extracts, layout, warehouse
+from tidemark.sources import export, extracts, layout, releases, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -471,6 +471,18 @@ def s7_load_results(spark, d):
     return spark.table(table)
 
 
+@query
+def s7_published_results(spark, d):
+    """Two results, shown together: one gains rows with the second release, of which the other has none and stays."""
+    database, revenue = _database(spark), inputs.monthly_revenue(spark, d)
+    daily = inputs.daily_metrics(spark, d).select("event_date", F.col("daily_active_users").cast("double").alias("value"))
+    releases.publish(spark, database, {"revenue": revenue.where("month < DATE'1995-01-01'"), "activity": daily})
+    releases.publish(spark, database, {"revenue": revenue.select("month", "revenue"), "activity": daily.where("value < 0")})
+    releases.prune(spark, database, keep=1)
+    shown = spark.table(f"{database}.revenue").select(F.lit("revenue").alias("result"), F.col("month").alias("day"), F.col("revenue").alias("value"))
+    return shown.unionByName(spark.table(f"{database}.activity").select(F.lit("activity").alias("result"), F.col("event_date").alias("day"), "value"))
+
+
 @query
 def s8_export_csv(spark, d):
     results = {

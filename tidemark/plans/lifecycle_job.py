@@ -17,7 +17,8 @@ from tidemark.operators.funnel import listed_funnel
 from tidemark.operators.rfm import rfm_by_quantile
 from tidemark.session import get_session
 from tidemark.sources.extracts import extract_customer_logins, extract_funnel_events, extract_transactions
-from tidemark.sources.warehouse import commit_table, stage_results
+from tidemark.sources.releases import publish
+from tidemark.sources.warehouse import months_as_text
 
 # The stages of the sales funnel, top to bottom.
 FUNNEL_STAGES = ("Lead Created", "Demo Scheduled", "Proposal Sent", "Contract Signed", "Closed Won")
@@ -44,11 +45,10 @@ def run_job(
     as_of: dt.date | str | None = None,
     login_lookback_days: int = 90,
 ) -> dict[str, bool]:
-    """Fill the four result tables in ``dataset``; False marks a table whose result was empty.
+    """Fill the four results in ``dataset``; False marks one that was empty and stays as it was.
 
-    All four results are computed beside the tables before the first of them is replaced, so a result that fails leaves
-    every table as it was. The cleaned transactions feed two results and are cached for them; lost blocks
-    are recomputed.
+    All four are computed first and shown to readers in one step (``releases``), so a failure anywhere leaves all old results or
+    all new ones. The cleaned transactions feed two results and are cached for them; lost blocks are recomputed.
     """
     spark = transactions.sparkSession
     cleaned = transform_transactions(extract_transactions(transactions, as_of)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -61,13 +61,9 @@ def run_job(
             "funnel_conversion": transform_funnel(extract_funnel_events(funnel_stages)),
             "cohort_retention": transform_cohorts(cleaned),
         }
-        staged = {name: stage_results(result, f"{dataset}.{name}") for name, result in results.items()}
+        return publish(spark, dataset, {name: months_as_text(result) for name, result in results.items()})
     finally:
         cleaned.unpersist()
-    for name, table in staged.items():
-        if table is not None:
-            commit_table(spark, table, f"{dataset}.{name}")
-    return {name: table is not None for name, table in staged.items()}
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:

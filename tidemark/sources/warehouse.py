@@ -97,11 +97,16 @@ def month_columns(df: DataFrame) -> list[str]:
     ]
 
 
+def months_as_text(df: DataFrame, months: Sequence[str] | None = None) -> DataFrame:
+    """``df`` with its months (found by ``month_columns`` unless named) as ``yyyy-MM`` text."""
+    texts = {name: F.date_format(name, "yyyy-MM") for name in (month_columns(df) if months is None else months)}
+    return df.withColumns(texts) if texts else df
+
+
 def stage_results(df: DataFrame, table: str, months: Sequence[str] | None = None) -> str | None:
     """Compute a result once, into a table beside ``table``, its months as ``yyyy-MM`` text; None if it is empty."""
     spark = df.sparkSession
-    texts = {name: F.date_format(name, "yyyy-MM") for name in (month_columns(df) if months is None else months)}
-    staged = stage_table(df.withColumns(texts) if texts else df, table)
+    staged = stage_table(months_as_text(df, months), table)
     if spark.table(staged).isEmpty():
         spark.sql(f"DROP TABLE {staged}")
         return None
