@@ -1,0 +1,73 @@
+"""Sessions of a stream against those of all its events at once."""
+
+import datetime as dt
+import random
+
+import numpy as np
+import pytest
+from helpers import rows
+
+from tidemark.operators.sessions import sessionize
+from tidemark.streaming.sessions import SECOND, merged, sessionize_stream
+
+SCHEMA = "customer_id long, at timestamp"
+START = dt.datetime(2024, 1, 1)
+
+
+def events(seed, n=400):
+    chance = random.Random(seed)
+    seconds = sorted(chance.choice([0, 1, 1799, 1800, 1801, 5, 60]) for _ in range(n))
+    chance.shuffle(seconds)
+    at, data = {}, []
+    for gap in seconds:
+        who = chance.choice([1, 1, 1, 2, 3, None])
+        at[who] = at.get(who, START) + dt.timedelta(seconds=gap, microseconds=chance.randrange(10**6))
+        data.append((who, at[who]))
+    return sorted(data, key=lambda row: row[1])
+
+
+def streamed(spark, folder, parts, **options):
+    """Each part is a file, and a run of the stream of its own that goes on from the state of the one before."""
+    for number, part in enumerate(parts):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = sessionize_stream(spark.readStream.schema(SCHEMA).parquet(f"{folder}/in"), "customer_id", "at", **options)
+        query = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").option("path", f"{folder}/out")
+        query.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+@pytest.mark.parametrize("cuts", [1, 4])
+def test_any_cut_into_batches_gives_the_batch_result(spark, tmp_path, cuts):
+    data = events(cuts)
+    expected = rows(sessionize(spark.createDataFrame(data, SCHEMA), "customer_id", "at"), "customer_id", "session_id")
+    size = -(-len(data) // cuts)
+    parts = [data[k : k + size] for k in range(0, len(data), size)]
+    random.Random(1).shuffle(parts[0])
+    after = [(77, data[-1][1] + dt.timedelta(days=30))]  # moves the watermark past all sessions
+    found = streamed(spark, tmp_path, [*parts, after], delay="10 minutes")
+    assert rows(found.where("customer_id IS NULL OR customer_id <> 77"), "customer_id", "session_id") == expected
+
+
+def test_late_events_and_events_without_a_time(spark, tmp_path):
+    first = [(1, START), (1, START + dt.timedelta(minutes=10)), (1, None), (2, START + dt.timedelta(hours=9))]
+    late = [(1, START + dt.timedelta(minutes=20)), (1, START + dt.timedelta(hours=8, minutes=30)), (2, START + dt.timedelta(hours=9, minutes=20))]
+    end = [(3, START + dt.timedelta(days=9))]
+    found = rows(streamed(spark, tmp_path, [first, late, end], delay="1 hour"), "customer_id", "session_id")
+    assert [(row[0], row[1], row[2] - START, row[4]) for row in found] == [
+        (1, 1, dt.timedelta(0), 2),  # was finished when its late event came
+        (1, 2, dt.timedelta(hours=8, minutes=30), 1),  # older than others, but not behind the watermark of 8 o'clock
+        (2, 1, dt.timedelta(hours=9), 2),
+    ]
+
+
+def test_merging_in_any_order():
+    chance = np.random.default_rng(3)
+    times = np.sort(chance.integers(0, 10**6, 500)) * SECOND // 3
+    ones = np.ones(500, dtype=np.int64)
+    whole = [x.tolist() for x in merged(times, times, ones, 500)]
+    for seed in range(5):
+        shuffled = np.random.default_rng(seed).permutation(times)
+        state = tuple(np.empty(0, dtype=np.int64) for _ in range(3))
+        for part in np.array_split(shuffled, 7):
+            state = merged(*(np.concatenate(pair) for pair in zip(state, (part, part, np.ones(len(part), dtype=np.int64)))), 500)
+        assert [x.tolist() for x in state] == whole

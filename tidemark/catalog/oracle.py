@@ -420,6 +420,7 @@ def _all() -> dict[str, str]:
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_id FROM gaps)
         SELECT customer_id, session_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events_in_session,
             round((max(s) - min(s)) / 60, 1) AS session_duration_mins FROM numbered GROUP BY ALL"""
+    sql["e1_streamed_sessions"] = sql["e1_sessions"].replace("FROM events)", "FROM events WHERE ts IS NOT NULL)")
 
     sql["c1_clean"] = """SELECT DISTINCT c_custkey AS customer_id, c_name AS account_name, c_mktsegment AS segment,
         c_acctbal AS mrr FROM customer"""

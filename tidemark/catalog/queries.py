@@ -16,6 +16,7 @@ from tidemark.operators import churn, cleaning, cohorts, funnel, retention_state
 from tidemark.plans import lifecycle_job, reports
 from tidemark.session import scratch_path, settle
 from tidemark.sources import export, extracts, layout, releases, warehouse
+from tidemark.streaming import sessions as stream_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -322,6 +323,23 @@ def e1_sessions(spark, d):
     return sessions.sessionize(inputs.flat_events(spark, d), "customer_id", "event_timestamp")
 
 
+@query
+def e1_streamed_sessions(spark, d):
+    """The same from a stream of files; an event of nobody, in a second run, moves the watermark past all sessions."""
+    rows = inputs.flat_events(spark, d).select("customer_id", "event_timestamp").where("event_timestamp IS NOT NULL")
+    span = rows.agg(F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last"))
+    delay = span.select(F.datediff("last", "first") + 1).first()[0] or 1  # files come in any order, and no row is late
+    end = span.select(F.lit(None).cast("long").alias("customer_id"), F.expr(f"last + INTERVAL {2 * delay + 1} DAYS").alias("event_timestamp"))
+    folder = _fresh(spark, "event-stream")
+    for arrived in (rows.repartition(6, "event_timestamp"), end):
+        arrived.write.mode("append").parquet(f"{folder}/in")
+        arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+        stream = stream_sessions.sessionize_stream(arriving, "customer_id", "event_timestamp", delay=f"{delay} days")
+        writer = stream.writeStream.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
+        writer.format("parquet").start(f"{folder}/out").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
 # Cleaning
 
 
