@@ -27,6 +27,23 @@ def test_equals_brute_force_even_if_digests_collide(spark):
     assert got(by_length) == brute(rows)
 
 
+def test_only_texts_of_hit_digests_are_compared(spark, monkeypatch):
+    """Of 3,000 texts that occur once hardly any passes the filter; the copies do."""
+    rows = [(i, f"text {i}") for i in range(3000)] + [(5000 + i, "copy") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    passed = []
+    sift = stream_dedup.sift
+
+    def counted(df, *arguments):
+        kept = sift(df, *arguments)
+        passed.append(sorted(row.text for row in kept.collect()))
+        return kept
+
+    monkeypatch.setattr(stream_dedup, "sift", counted)
+    assert got(stream_dedup.exact_duplicates(docs)) == brute(rows)
+    assert passed[0].count("copy") == 50 and len(passed[0]) < 60
+
+
 def test_odd_documents(spark, odd_documents):
     rows = [(row.doc_id, row.text) for row in odd_documents.collect()]
     assert got(stream_dedup.exact_duplicates(odd_documents)) == brute(rows)

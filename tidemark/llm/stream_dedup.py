@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.store import new_folder, written
+from tidemark.operators.bloom import bloom_filter, filter_words, sift
 from tidemark.session import settings
 
 STATE_SETTINGS = {
@@ -56,8 +57,8 @@ def exact_duplicates(
 
     Of equal texts the row with the largest id stays; ``keep_id`` is its id. The rows arrive, without their texts, in a
     stream of digest, id and content locator (``locator``, or else the id and the number of bytes); ``run_stream``
-    groups them in state on disk. All bytes of the rows that share a digest are then compared: where texts of one
-    digest differ, they are grouped by the texts themselves.
+    groups them in state on disk. All bytes of the rows that share a digest are then compared, and of no others, whose texts are
+    not moved: where texts of one digest differ, they are grouped by the texts themselves.
 
     Null texts count as empty, and empty texts equal each other. A null id never stays if its group has another; in a
     group of null ids alone keep_id is null and all rows stay. Rows equal in id and text stay together. Other columns
@@ -75,8 +76,12 @@ def exact_duplicates(
     stream = spark.readStream.schema(light.schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{folder}/arrivals")
     state = run_stream(spark, stream, f"{folder}/state")
 
-    # Copies meet in each task before the shuffle, so a text that very many rows share costs no task more than another.
-    compared = rows.groupBy("digest").agg(F.collect_set("text").alias("texts"))
+    # Only rows whose digest was hit are compared; one that passes the filter by chance is a group of its own. Copies
+    # meet in each task before the shuffle, so a text that very many rows share costs no task more than another.
+    hits = state.where("group_size > 1").select("digest")
+    words = filter_words(hits.count())
+    hit = sift(rows.select("digest", "text"), ["digest"], bloom_filter(hits, ["digest"], words), words)
+    compared = hit.groupBy("digest").agg(F.collect_set("text").alias("texts"))
     collided = written(compared.where("size(texts) > 1").select("digest"), "collided")
     found = light.select("doc_id", "digest").join(state, "digest")
     if not collided.isEmpty():
