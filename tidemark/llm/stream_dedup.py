@@ -13,6 +13,8 @@ STATE_SETTINGS = {
     "spark__sql__streaming__stateStore__providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage": "true",
     "spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB": "256",
+    # Else each partition's store sets 4 MB of disk aside for its log, however little it holds.
+    "spark__sql__streaming__stateStore__rocksdb__allowFAllocate": "false",
 }
 #: Files of one micro-batch; state and progress are kept after each.
 FILES_PER_BATCH = 64
