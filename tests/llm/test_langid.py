@@ -1,3 +1,6 @@
+import zlib
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -75,3 +78,43 @@ def test_letter_junk_goes_and_short_texts_stay(spark):
     assert langid.keep_known_languages(short, prototypes, 0.0, beyond_chance=True).count() >= 0.999 * short.count()
     whole = docs.where("text rlike '[a-z]'")
     assert langid.keep_known_languages(whole, prototypes, 0.0, beyond_chance=True).count() == whole.count()
+
+
+_known = {}
+
+
+def summed_trigrams(text):
+    """The sum of all trigrams' vectors, one trigram after the other."""
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split(" ")
+    line = " ".join(["", *[word for word in words if word], ""])
+    total = np.zeros(langid.DIMENSIONS)
+    if len(line) < 3:
+        return total
+    for trigram, n in Counter(line[i : i + 3] for i in range(len(line) - 2)).items():
+        if trigram not in _known:
+            first, second, third = (langid.letter_vector(ord(c)).astype(float) for c in trigram)
+            _known[trigram] = np.roll(first, 2) * np.roll(second, 1) * third
+        total += n * _known[trigram]
+    return total
+
+
+def test_query_equals_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    bundles = {row.doc_id: summed_trigrams(row.text) for row in docs}
+    sums = {}
+    for row in docs:
+        if zlib.crc32(str(row.doc_id).encode()) % 4 != 2 and row.text is not None and row.lang is not None:
+            sums[row.lang] = sums.get(row.lang, 0) + bundles[row.doc_id]
+    langs = sorted(lang for lang, vector in sums.items() if np.linalg.norm(vector))
+    prototypes = np.array([sums[lang] / np.linalg.norm(sums[lang]) for lang in langs])
+    found = op6_language(spark, "/root/testdata/sf0.001").collect()
+    assert len(found) == len(docs)
+    for row in found:
+        bundle = bundles[row.doc_id]
+        assert row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 4 == 2)
+        if not np.linalg.norm(bundle):
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+            continue
+        cosines = prototypes @ bundle / np.linalg.norm(bundle)
+        assert row.lang_pred == langs[int(cosines.argmax())]
+        assert abs(row.score - min(max(cosines.max(), 0.0), 1.0)) < 1e-6
