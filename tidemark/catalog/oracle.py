@@ -472,6 +472,10 @@ def _all() -> dict[str, str]:
         UNION ALL SELECT 'table_rows', CAST(count(*) AS VARCHAR) FROM loaded
         UNION ALL SELECT 'partition_rows', CAST(count(*) AS VARCHAR) FROM loaded
             WHERE event_date = '2024-01-15' AND region = 'US'"""
+    sql["s17_hot_keys_from_statistics"] = given("transactions") + """, counted AS (SELECT customer_id, count(*) AS n,
+            count(*) FILTER (amount > 200000) AS more FROM transactions GROUP BY 1)
+        SELECT 'fresh' AS state, customer_id FROM counted WHERE n > 12
+        UNION ALL SELECT 'stale', customer_id FROM counted WHERE n + more > 12"""
 
     before = "lag(revenue) OVER (ORDER BY week_start)"
     change = f"(revenue - {before})"

@@ -15,7 +15,7 @@ from tidemark.functions.tiers import CHURN_TIERS
 from tidemark.operators import churn, cleaning, cohorts, funnel, retention_state, rfm, rollups, sessions, sketches, streaks, windows
 from tidemark.plans import lifecycle_job, reports
 from tidemark.session import scratch_path, settle
-from tidemark.sources import export, extracts, layout, releases, warehouse
+from tidemark.sources import export, extracts, layout, releases, statistics, warehouse
 from tidemark.streaming import sessions as stream_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -635,6 +635,26 @@ def s17_analyze(spark, d):
     return column.unionByName(stored("", "table_rows")).unionByName(partition)
 
 
+@query
+def s17_hot_keys_from_statistics(spark, d):
+    """Customers with many transactions, from statistics; after an append these are stale, and the keys are searched."""
+    table = f"{_database(spark)}.payments"
+    payments = inputs.transactions(spark, d).select("customer_id", "amount")
+    payments.write.format("orc").saveAsTable(table)
+    statistics.keep_key_statistics(spark, table, "customer_id", least_rows=5)
+
+    def found(state: str, keys: DataFrame | None) -> DataFrame:
+        none = payments.select("customer_id").limit(0)
+        return (none if keys is None else keys).select(F.lit(state).alias("state"), "customer_id")
+
+    fresh = statistics.known_hot_keys(spark, table, "customer_id", 12)
+    known = found("fresh" if fresh else "none", settle(fresh[0]) if fresh and fresh[0] else None)
+    warehouse.load_table(payments.where("amount > 200000"), table)
+    stale = statistics.known_hot_keys(spark, table, "customer_id", 12) is None
+    searched = statistics.hot_keys_of(spark, table, "customer_id", 12)[0]
+    return known.unionByName(found("stale" if stale else "wrong", searched))
+
+
 # Reports and jobs
 
 

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.measures import money_sum
-from tidemark.operators.skew import HOT_ROWS, hot_keys
+from tidemark.operators.skew import HOT_ROWS
 from tidemark.session import settings
-from tidemark.sources.warehouse import commit_table, stage_table
+from tidemark.sources.statistics import hot_keys_of
+from tidemark.sources.warehouse import commit_table, stage_table, table_location
 
 EVENT_COLUMNS = ("customer_id", "event_type", "event_value", "session_id", "platform", "event_date", "region")
 EVENT_PARTITIONS = ("event_date", "region")
@@ -90,12 +91,13 @@ def bucketed_spend(
 ) -> DataFrame:
     """Spend per customer and segment from two tables with the same buckets, without a shuffle.
 
-    A bucket is read by one task. Where a bucket has too many bytes for that, or a customer too many rows, the
-    transactions are read file by file instead and added up per customer first, so that only those sums are shuffled.
+    A bucket is read by one task. Where a bucket has too many bytes for that, or a customer too many rows (by the table's key
+    statistics if they are fresh, else by a search), the transactions are read file by file instead and added up per customer
+    first, so that only those sums are shuffled.
     """
     people, payments = spark.table(customers), spark.table(transactions)
     files = spark.read.schema(payments.schema).orc(table_location(spark, transactions))
-    if largest_bucket(spark, transactions) > bucket_bytes or hot_keys(files, ["customer_id"], hot_rows)[0] is not None:
+    if largest_bucket(spark, transactions) > bucket_bytes or hot_keys_of(spark, transactions, "customer_id", hot_rows)[0] is not None:
         payments = files
     spend = payments.groupBy("customer_id").agg(money_sum("amount").alias("_spend"))
     return (
@@ -105,11 +107,6 @@ def bucketed_spend(
     )
 
 
-def table_location(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return described.where("col_name = 'Location'").select("data_type").first()[0]
-
-
 def write_orc(df: DataFrame, path: str, tier: str = "hot", mode: str = "overwrite") -> None:
     """ORC files: Snappy for hot data, ZLIB for data that is seldom read."""
     df.write.mode(mode).option("compression", CODECS[tier]).orc(path)
