@@ -58,6 +58,29 @@ def test_rankings_with_one_tie_over_many_slices(spark):
     assert slices.select("_slice").distinct().count() > 30
 
 
+def test_slices_do_not_multiply_with_small_limits(spark, monkeypatch):
+    """The driver gets sampled rows for each slice, so tiny limits give slices of more rows instead of thousands of slices."""
+    asked, sliced = [], ordering.ordered_slices
+
+    def recorded(df, order, slices):
+        asked.append(slices)
+        return sliced(df, order, slices)
+
+    for module in (ordering, windows):
+        monkeypatch.setattr(module, "ordered_slices", recorded)
+    monkeypatch.setattr(ordering, "SLICES", 20, raising=False)
+    df = spark.range(3000).selectExpr("id % 2 AS k", "cast(id % 7 AS double) AS amount", "id")
+    plain = windows.running_total(df, "k", "amount", "amount", ["id"])
+    assert same(windows.running_total(df, "k", "amount", "amount", ["id"], hot_rows=10), plain)
+    assert same(windows.rankings(df, "k", "amount", ["id"], hot_rows=10), windows.rankings(df, "k", "amount", ["id"]))
+    quartiles = windows.spend_quartiles(df, "id", "amount", "k", one_task_rows=10)
+    assert same(quartiles, windows.spend_quartiles(df, "id", "amount", "k"))
+    assert asked == [20, 20, 20]
+    monkeypatch.setattr(ordering, "ONE_TASK_BYTES", 1000)  # large rows still get as many slices as their bytes ask for
+    assert same(windows.running_total(df, "k", "amount", "amount", ["id"], hot_rows=10), plain)
+    assert asked[3] == 120
+
+
 def test_copies_of_one_row(spark):
     """Copies that would fill several slices are counted first, and all of them come back."""
     many = spark.range(3000).selectExpr("1L AS k", "DATE'2024-01-01' AS d", "7L AS id", "0.25D AS amount")

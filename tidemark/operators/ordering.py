@@ -18,12 +18,20 @@ from tidemark.session import settle
 
 #: Bytes of rows that one task may sort; more are sorted in slices of that size.
 ONE_TASK_BYTES = 64_000_000
+#: Slices that small rows are sorted in at most, as the driver gets some hundred sampled rows a slice; more only if bytes ask for them.
+SLICES = 200
 
 
 def rows_in_one_task(df: DataFrame, given: int | None = None) -> int:
     return given or max(1, ONE_TASK_BYTES // row_bytes(df))
 
 
+def slices_of(split: Split) -> int:
+    """How many slices the hot rows take: as many as the limit asks for, as long as that makes no swarm of tiny tasks."""
+    enough = max(SLICES, ceil(split.rows * row_bytes(split.hot) / ONE_TASK_BYTES))
+    return min(ceil(split.rows / split.limit), enough)
+
+
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in these
 
 
@@ -138,7 +146,7 @@ def _hot_slices(split: Split, keys: Sequence[str], order: Sequence[Column]) -> D
     """Hot rows in slices by key and order; the other columns settle ties, so that any two rows can part."""
     collapsed = collapse_copies(split.hot, "_copies", split.limit)
     columns = [*map(F.col, keys), *order, *map(F.col, split.hot.columns)]
-    return ordered_slices(collapsed, columns, ceil(split.rows / split.limit))
+    return ordered_slices(collapsed, columns, slices_of(split))
 
 
 def _unfold(collapsed: DataFrame, slices: DataFrame) -> DataFrame:

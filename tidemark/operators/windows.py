@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -13,6 +12,7 @@ from tidemark.operators.ordering import (
     ranked_in_slices,
     rows_in_one_task,
     running_sum_in_slices,
+    slices_of,
 )
 from tidemark.operators.skew import BROADCAST_BYTES, HOT_ROWS, Split, match, row_bytes, split_hot
 from tidemark.operators.selection import Term, ntile_ends, number_of_tile, rows_at
@@ -141,7 +141,7 @@ def spend_quartiles(
 def _medians_in_slices(split: Split, key: str, value: str, tie_breaker: str) -> DataFrame:
     """Exact median per hot key: find the place of the middle rows and read only those."""
     known = split.hot.where(F.col(value).isNotNull())
-    slices = ordered_slices(known, [F.col(key), F.col(value), F.col(tie_breaker)], ceil(split.rows / split.limit))
+    slices = ordered_slices(known, [F.col(key), F.col(value), F.col(tie_breaker)], slices_of(split))
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice and hot key.
     counts = (
