@@ -22,6 +22,8 @@ LEAST_SCORE = 0.0
 ROWS_AT_ONCE = "1000"
 #: Words that a worker remembers while it tokenises, for the same reason.
 REMEMBERED_WORDS = 100_000
+#: Bytes of texts that it tokenises at once.
+PORTION_BYTES = 1_000_000
 
 
 def ready(spark: SparkSession) -> None:
@@ -85,7 +87,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token pieces with their places in sequences of 4096 tokens."""
     ready(spark)
-    return packing.pack_documents(docs, WORD_BPE, remembered=REMEMBERED_WORDS)
+    return packing.pack_documents(docs, WORD_BPE, remembered=REMEMBERED_WORDS, portion_bytes=PORTION_BYTES)
 
 
 STAGES = [

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -28,6 +29,24 @@ def test_ids_equal_the_library(library, monkeypatch):
             assert np.frombuffer(code.encode([text])[0], dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("portion", [1, 300, 8_000_000])
+def test_portions_look_up_each_chunk_once(library, monkeypatch, portion):
+    """Texts are taken together by bytes, not by rows, and a chunk is looked up once however often a portion has it."""
+    texts = [*ODD, None, *["Some words, some Words"] * 600, "\x1c a", " ".join(ODD)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": pa.array(texts, pa.string())})
+    asked = []
+    code = packing.WordTokenizer(WORD_BPE)
+    ids_of = code._ids_of
+    monkeypatch.setattr(code, "_ids_of", lambda chunks: asked.append(chunks) or ids_of(chunks))
+    monkeypatch.setattr(packing, "word_tokenizer", lambda path, remembered: code)
+    found = {row["doc_id"]: (row["length"], row["ids_crc32"]) for part in packing._cut(iter([batch]), WORD_BPE, 4096, 100, portion) for row in part.to_pylist()}
+    for row, text in enumerate(texts):
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        assert found[row] == (len(ids), zlib.crc32(ids.tobytes())), text
+    assert all(len(chunks) == len(set(chunks)) for chunks in asked)
+    assert len(asked) < 100 if portion > 1 else len(asked) > 600
+
+
 def check(rows, texts, library, capacity):
     bins = {}
     expected = []

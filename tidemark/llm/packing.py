@@ -10,6 +10,7 @@ from functools import lru_cache, partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ END_ID = 1
 
 REMEMBERED = 400_000
 REMEMBERED_LENGTH = 64
+#: Bytes of texts that are tokenised at once, so that memory does not follow the number of rows in a batch.
+PORTION_BYTES = 8_000_000
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -54,51 +57,78 @@ class WordTokenizer:
         self.pieces: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        # The fast form leaves out where in the text each id stands, and nothing else.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[text] if _SEPARATORS.search(text) else text.split() for text in texts]
-        here = {chunk: _recall(self.chunks, chunk) for chunk in set().union(*cut)}
-        fresh = [chunk for chunk, ids in here.items() if ids is None]
+        apart = {row: self.ids(text) for row, text in enumerate(texts) if _SEPARATORS.search(text)}
+        column = pa.array(["" if row in apart else text for row, text in enumerate(texts)], pa.large_string())
+        cut = pc.utf8_split_whitespace(column)
+        words = cut.flatten().dictionary_encode()
+        known = self._ids_of(words.dictionary.to_pylist())
+        # All ids in one flat array: those of each chunk, taken from where its ids stand among those of all different chunks.
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat, which = np.frombuffer(b"".join(known), dtype="<u4"), words.indices.to_numpy()
+        lengths = sizes[which]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        flat = flat[np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], lengths) + np.arange(ends[-1])]
+        edges = ends[cut.offsets.to_numpy()].tolist()
+        return [apart[row] if row in apart else flat[a:b].tobytes() for row, (a, b) in enumerate(zip(edges, edges[1:]))]
+
+    def _ids_of(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each of some different chunks."""
+        self.chunks, self.pieces = _turned(self.chunks, self.remembered), _turned(self.pieces, self.remembered)
+        known, learnt = self.chunks[0], self.pieces[0]
+        fresh = _recall(self.chunks, set(chunks))
         plain = [chunk for chunk in fresh if _PLAIN.fullmatch(chunk)]
-        parts = {chunk: self.words.findall(chunk.lower()) for chunk in plain}
-        learnt = self._learn({part for words in parts.values() for part in words})
-        new = {chunk: b"".join([learnt[word] for word in words]) for chunk, words in parts.items()}
-        new.update((chunk, self.ids(chunk)) for chunk in fresh if chunk not in parts)
-        self.chunks = _remember(self.chunks, new, self.remembered)
-        here.update(new)
-        return [b"".join([here[chunk] for chunk in chunks]) for chunks in cut]
+        parts = list(map(self._words, plain))
+        new = _recall(self.pieces, {word for words in parts for word in words})
+        learnt.update(self._learn(new))
+        known.update((chunk, b"".join([learnt[word] for word in words])) for chunk, words in zip(plain, parts))
+        known.update((chunk, self.ids(chunk)) for chunk in fresh.difference(plain))
+        ids = list(map(known.__getitem__, chunks))
+        _forget(known, fresh)
+        _forget(learnt, new)
+        return ids
+
+    def _words(self, chunk: str) -> list[str]:
+        """The words of a plain chunk, in lower case; letters alone, or with one other sign after them, need no pattern."""
+        chunk = chunk.lower()
+        if chunk.isalpha():
+            return [chunk]
+        if chunk[:-1].isalpha():
+            return [chunk[:-1], chunk[-1]]
+        return self.words.findall(chunk)
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
-        known = {word: _recall(self.pieces, word) for word in words}
-        fresh = [word for word, ids in known.items() if ids is None]
-        if fresh:
-            ids = np.array(self.tokenizer.encode(" ".join(fresh), add_special_tokens=False).ids, dtype="<u4")
-            after = np.flatnonzero(self.ends[ids]) + 1
-            if len(after) != len(fresh):
-                raise AssertionError("a word has one end")
-            starts = np.concatenate(([0], after[:-1]))
-            raw = ids.tobytes()
-            learnt = {word: raw[4 * a : 4 * b] for word, a, b in zip(fresh, starts.tolist(), after.tolist())}
-            self.pieces = _remember(self.pieces, learnt, self.remembered)
-            known.update(learnt)
-        return known
-
-
-def _recall(memory: tuple[dict, dict], key: str) -> bytes | None:
-    young, old = memory
-    found = young.get(key)
-    if found is None and (found := old.get(key)) is not None:
-        young[key] = found
-    return found
+        if not words:
+            return {}
+        raw = self.ids(" ".join(words))
+        after = np.flatnonzero(self.ends[np.frombuffer(raw, dtype="<u4")]) + 1
+        if len(after) != len(words):
+            raise AssertionError("a word has one end")
+        ends = (4 * after).tolist()
+        return {word: raw[a:b] for word, a, b in zip(words, [0, *ends], ends)}
+
 
+def _turned(memory: tuple[dict, dict], remembered: int) -> tuple[dict, dict]:
+    """The memory with room in its young half."""
+    return ({}, memory[0]) if len(memory[0]) > remembered else memory
 
-def _remember(memory: tuple[dict, dict], items: dict[str, bytes], remembered: int) -> tuple[dict, dict]:
+
+def _recall(memory: tuple[dict, dict], keys: set[str]) -> set[str]:
+    """Takes what is known of ``keys`` into the young half; returns the keys that are new."""
     young, old = memory
-    if len(young) > remembered:
-        young, old = {}, young
-    young.update((key, value) for key, value in items.items() if len(key) <= REMEMBERED_LENGTH)
-    return young, old
+    missing = keys.difference(young)
+    again = {key: old[key] for key in missing if key in old}
+    young.update(again)
+    return missing.difference(again)
+
+
+def _forget(young: dict[str, bytes], keys: set[str]) -> None:
+    for key in keys:
+        if len(key) > REMEMBERED_LENGTH:
+            del young[key]
 
 
 @lru_cache(maxsize=2)
@@ -106,12 +136,22 @@ def word_tokenizer(path: str, remembered: int = REMEMBERED) -> WordTokenizer:
     return WordTokenizer(path, remembered)
 
 
-def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, remembered: int) -> Iterator[pa.RecordBatch]:
+def _portions(batch: pa.RecordBatch, portion_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, some at a time: texts of at most ``portion_bytes``, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + portion_bytes, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
+def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, remembered: int, portion_bytes: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:
     code = word_tokenizer(path, remembered)
     end = np.array([END_ID], dtype="<u4").tobytes()
     for batch in batches:
-        for offset in range(0, batch.num_rows, 256):
-            part = batch.slice(offset, 256)
+        for part in _portions(batch, portion_bytes):
             rows = []
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), code.encode([text or "" for text in part.column("text").to_pylist()])):
                 ids += end
@@ -126,14 +166,21 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, remembered
 
 
 def token_pieces(
-    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_column: str = "doc_id", text_column: str = "text", remembered: int = REMEMBERED
+    docs: DataFrame,
+    tokenizer_path: str,
+    capacity: int = CAPACITY,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    remembered: int = REMEMBERED,
+    portion_bytes: int = PORTION_BYTES,
 ) -> DataFrame:
     """One row per piece of each document: doc_id, piece, start, length, ids_crc32.
 
-    ``remembered`` bounds what a worker keeps of words that it has seen, twice as many chunks and words at most; it changes no result.
+    ``remembered`` bounds what a worker keeps of words that it has seen, twice as many chunks and words at most, and
+    ``portion_bytes`` what it tokenises at once; they change no result.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(partial(_cut, path=tokenizer_path, capacity=capacity, remembered=remembered), PIECE_SCHEMA)
+    return rows.mapInArrow(partial(_cut, path=tokenizer_path, capacity=capacity, remembered=remembered, portion_bytes=portion_bytes), PIECE_SCHEMA)
 
 
 class OpenBins:
@@ -217,6 +264,7 @@ def pack_documents(
     id_column: str = "doc_id",
     text_column: str = "text",
     remembered: int = REMEMBERED,
+    portion_bytes: int = PORTION_BYTES,
 ) -> DataFrame:
     """One row per piece of each document: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -224,4 +272,4 @@ def pack_documents(
     Null and empty texts are the end id alone. Null ids stay null, repeated rows are packed as often as they occur,
     other columns are ignored, an empty table gives no rows. sequence_id tells sequences apart and nothing else.
     """
-    return pack(token_pieces(docs, tokenizer_path, capacity, id_column, text_column, remembered), capacity, open_bins)
+    return pack(token_pieces(docs, tokenizer_path, capacity, id_column, text_column, remembered, portion_bytes), capacity, open_bins)
