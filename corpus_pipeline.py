@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidemark.llm import hyperminhash, langid, packing, sanitise, stream_dedup  # noqa: E402
+from tidemark.llm import hyperminhash, langid, memory, packing, sanitise, stream_dedup  # noqa: E402
 from tidemark.llm.queries import WORD_BPE  # noqa: E402
 from tidemark.llm.store import share_code, written  # noqa: E402
 
@@ -29,6 +29,7 @@ PORTION_BYTES = 1_000_000
 def ready(spark: SparkSession) -> None:
     """Sets up a session for the stages with Python workers."""
     share_code(spark)
+    memory.thrifty_workers(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
 
 

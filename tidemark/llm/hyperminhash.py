@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
+from tidemark.llm.memory import remember_only
 from tidemark.llm.shingles import mix, shingle_set, texts_of
 from tidemark.llm.store import written
 
@@ -87,6 +88,7 @@ def signatures(docs: DataFrame, k: int, id_column: str = "doc_id", text_column:
 
 
 def _sign(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    remember_only()
     for batch in batches:
         for part in _pieces(batch):
             sets = [shingle_set(text, k) for text in texts_of(part.column("text"))]

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.memory import remember_only
+
 DIMENSIONS = 1024
 SEED = 20_240_601
 #: Documents whose counts stand in one matrix, and trigram vectors that a worker remembers.
@@ -138,6 +140,7 @@ def _bundles(groups: list[list[np.ndarray]]) -> np.ndarray:
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sum of all trigram vectors of each language in this task, and behind it their number."""
+    remember_only(_vectors.cache_clear)
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         for start in range(0, batch.num_rows, 4 * BLOCK):
@@ -188,6 +191,7 @@ def _scored(texts: list[str | None], langs: list[str], prototypes: np.ndarray) -
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
+    remember_only(_vectors.cache_clear)
     langs, prototypes, _ = pickle.loads(model)
     for batch in batches:
         for start in range(0, batch.num_rows, BLOCK):
@@ -204,6 +208,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa.Rec
 
 
 def _known(batches: Iterator[pa.RecordBatch], model: bytes, text_column: str, least: float, beyond_chance: bool) -> Iterator[pa.RecordBatch]:
+    remember_only(_vectors.cache_clear)
     langs, prototypes, spread = pickle.loads(model)
 
     def known(lang: str, cosine: float, n: float) -> bool:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tidemark.llm.memory import remember_only
 from tidemark.llm.store import written
 
 CAPACITY = 4096
@@ -148,6 +149,7 @@ def _portions(batch: pa.RecordBatch, portion_bytes: int) -> Iterator[pa.RecordBa
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, remembered: int, portion_bytes: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:
+    remember_only(word_tokenizer.cache_clear)
     code = word_tokenizer(path, remembered)
     end = np.array([END_ID], dtype="<u4").tobytes()
     for batch in batches:
