@@ -137,6 +137,9 @@ def word_tokenizer(path: str, remembered: int = REMEMBERED) -> WordTokenizer:
     return WordTokenizer(path, remembered)
 
 
+_forget_tokenizers = word_tokenizer.cache_clear
+
+
 def _portions(batch: pa.RecordBatch, portion_bytes: int) -> Iterator[pa.RecordBatch]:
     """The rows of a batch, some at a time: texts of at most ``portion_bytes``, or one row."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -149,7 +152,7 @@ def _portions(batch: pa.RecordBatch, portion_bytes: int) -> Iterator[pa.RecordBa
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, remembered: int, portion_bytes: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:
-    remember_only(word_tokenizer.cache_clear)
+    remember_only(_forget_tokenizers)
     code = word_tokenizer(path, remembered)
     end = np.array([END_ID], dtype="<u4").tobytes()
     for batch in batches:
