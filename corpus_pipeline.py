@@ -19,18 +19,21 @@ from tidemark.llm.store import share_code, written  # noqa: E402
 LEAST_SCORE = 0.0
 
 #: Rows that a Python worker of the pipeline gets at once; documents are long, and workers share an executor's memory.
-ROWS_AT_ONCE = "1000"
+ROWS_AT_ONCE = "250"
+#: Rows that the JVM reads at once, for the same reason.
+ROWS_READ_AT_ONCE = "512"
 #: Words that a worker remembers while it tokenises, for the same reason.
-REMEMBERED_WORDS = 100_000
+REMEMBERED_WORDS = 25_000
 #: Bytes of texts that it tokenises at once.
 PORTION_BYTES = 1_000_000
 
 
 def ready(spark: SparkSession) -> None:
-    """Sets up a session for the stages with Python workers."""
+    """Sets up a session for the stages."""
     share_code(spark)
     memory.thrifty_workers(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", ROWS_READ_AT_ONCE)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,6 +44,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id; of rows equal in id and text, one."""
+    ready(spark)
     found = stream_dedup.exact_duplicates(docs).where("kept")
     stays = written(found.groupBy(F.col("doc_id").alias("id"), F.col("text_digest").alias("key")).agg(F.count("*").alias("n")), "stays")
     digest = stream_dedup.digest_of(F.coalesce("text", F.lit("")))
@@ -81,6 +85,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data and terms that disclose them replaced; n_chars follows the text."""
+    ready(spark)
     clean = sanitise.redact(docs)
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(docs.columns)
 

@@ -68,3 +68,46 @@ def test_workers_of_the_pipeline_keep_little_free_memory(spark):
         environment.clear()
         environment.update(before)
     assert [row.value for row in rows] == [*(memory.THRIFTY | {"MALLOC_ARENA_MAX": "3"}).values(), "system"]
+
+
+def test_the_pipeline_takes_few_rows_at_once(spark, tmp_path):
+    """A worker gets at most 250 documents at once, the JVM reads at most 512, and a worker remembers few words, in every stage."""
+
+    def seen(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"value": pa.array([batch.num_rows], pa.int64())})
+
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"]
+    before = {name: spark.conf.get(name) for name in names}
+    docs = spark.createDataFrame([(i, f"text {i}", "en", 6) for i in range(5)], "doc_id long, text string, lang string, n_chars long")
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            for setting in names:
+                spark.conf.set(setting, "4096")
+            stage(spark, docs, "")
+            assert [spark.conf.get(setting) for setting in names] == ["250", "512"], name
+        spark.range(0, 2000, 1, 1).write.parquet(f"{tmp_path}/rows")
+        sizes = [row.value for row in spark.read.parquet(f"{tmp_path}/rows").mapInArrow(seen, "value long").collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(sizes) == 2000 and max(sizes) <= 250
+    assert corpus_pipeline.REMEMBERED_WORDS <= 25_000
+
+
+def test_training_holds_few_documents_at_once(monkeypatch):
+    """Texts of one block are bundled together, however many rows a batch has; the sums stay what they are."""
+    columns = {"lang": ["en", "de"] * 150, "text": ["The quick brown fox", "über den Wolken"] * 150}
+    batch = pa.RecordBatch.from_pydict(columns)
+    bundled, held = langid._bundles, []
+
+    def counted(groups):
+        held.append(sum(map(len, groups)))
+        return bundled(groups)
+
+    monkeypatch.setattr(langid, "_bundles", counted)
+    once, apart = (
+        [{row["lang"]: row["bundle"] for out in langid._train(iter(parts)) for row in out.to_pylist()}]
+        for parts in ([batch], [batch.slice(i, 1) for i in range(300)])
+    )
+    assert once == apart and max(held) <= langid.BLOCK

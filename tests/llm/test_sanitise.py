@@ -98,6 +98,14 @@ def listed(spark, rows):
     return {row.term: row.kind for row in sanitise.revealing_terms(base, rows).collect()}
 
 
+def test_no_terms_need_no_python_workers(spark):
+    """Without a pair of an entity and a term, the empty list of terms comes from the JVM alone."""
+    rows = spark.createDataFrame(filler(), "doc_id long, text string")
+    found = sanitise.revealing_terms(sanitise.written(sanitise.find_base(rows), "base"), rows)
+    assert found.collect() == [] and found.dtypes == [("term", "string"), ("kind", "string")]
+    assert "ExistingRDD" not in found._jdf.queryExecution().toString()
+
+
 def test_contexts_go_on_beyond_other_matches(spark):
     cards = [(i, f"card 4111 1111 1111 1111, 12/27 Mustermann {chr(97 + i) * 9}") for i in range(4)]
     lists = [(10 + i, f"{chr(97 + i) * 8} first@x.org, b{i}@x.org: Falconwing +49 30 1234567") for i in range(4)]

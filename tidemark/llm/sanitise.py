@@ -290,9 +290,8 @@ def revealing_terms(base: DataFrame, docs: DataFrame, text_column: str = "text")
     per_text = contexts.groupBy("entity", "term", "text_key").agg(F.count("*").alias("n"))
     joint = per_text.groupBy("entity", "term").agg(F.sum("n").alias("n_joint"), F.count("*").alias("n_texts")).where(F.col("n_texts") >= MIN_TEXTS)
     joint = written(joint, "joint")
-    schema = "term string, kind string"
-    if joint.isEmpty():
-        return docs.sparkSession.createDataFrame([], schema)
+    if joint.isEmpty():  # not by createDataFrame, for which each executor would start Python workers
+        return joint.select("term", F.lit(None).cast("string").alias("kind")).limit(0)
     wanted = _term_filter(joint.select("term").distinct())
 
     def counted(rows: DataFrame, text: Column, n: int) -> DataFrame:
